@@ -9,7 +9,7 @@ from applytrail.operators.rows import latest_status
 
 KEYS = ["company_clean", "role_clean"]
 
-# Mail categories behind each milestone (compared without case).
+# Mail categories behind each milestone.
 PERSONALITY_TEST = "Personality Test Request"
 TECHNICAL_TEST = "Technical Test Request"
 INTERVIEW = "Interview Invitation"
@@ -20,8 +20,13 @@ BOARD_REJECTION = "Not moving forward"
 NO_MAIL_STATUS = "Pending / No Email"
 
 
-def _is(column: str, value: str) -> Column:
-    return F.coalesce(F.lower(F.col(column)) == value.lower(), F.lit(False))
+def has_value(column: str, value: str) -> Column:
+    return F.coalesce(F.col(column) == value, F.lit(False))
+
+
+def is_confirmation() -> Column:
+    """Confirmations are recognised in any case: both spellings are in use."""
+    return F.coalesce(F.lower("update_category") == CONFIRMATION.lower(), F.lit(False))
 
 
 def automated() -> Column:
@@ -29,12 +34,12 @@ def automated() -> Column:
 
 
 def is_interview() -> Column:
-    invited = _is("update_category", INTERVIEW) | _is("notification_type", "Interview")
+    invited = has_value("update_category", INTERVIEW) | has_value("notification_type", "Interview")
     return invited & ~automated()
 
 
 def is_rejection() -> Column:
-    return _is("update_category", REJECTION) | _is("notification_type", REJECTION)
+    return has_value("update_category", REJECTION) | has_value("notification_type", REJECTION)
 
 
 def _flag(condition: Column) -> Column:
@@ -44,20 +49,19 @@ def _flag(condition: Column) -> Column:
 def mail_milestones(mail: DataFrame) -> DataFrame:
     """Mail counts, first date and milestone flags per (company, role).
 
-    The distinct category count is the size of a collected set: categories are a
-    closed list, so the set stays tiny and the rows are aggregated map-side once
-    instead of being expanded for a distinct aggregate.
+    The distinct count is first reduced per (key, category), so a hot key reaches
+    its final task as a handful of rows.
     """
     return mail.groupBy(F.col("company_clean").alias("m_company"), F.col("role_clean").alias("m_role")).agg(
-        F.size(F.collect_set("update_category")).cast("long").alias("distinct_roles"),
+        F.count_distinct("update_category").alias("distinct_roles"),
         F.count("company_clean").alias("mail_count"),
         F.min("date").alias("mail_date"),
-        _flag(_is("update_category", PERSONALITY_TEST)).alias("has_p_test"),
-        _flag(_is("update_category", TECHNICAL_TEST)).alias("has_t_test"),
+        _flag(has_value("update_category", PERSONALITY_TEST)).alias("has_p_test"),
+        _flag(has_value("update_category", TECHNICAL_TEST)).alias("has_t_test"),
         _flag(is_interview()).alias("has_interview"),
         _flag(is_rejection()).alias("is_rejected_mail"),
-        _flag(_is("update_category", CONFIRMATION)).alias("is_confirmation"),
-        _flag(automated() | _is("update_category", AUTO_REPLY)).alias("is_automated"),
+        _flag(is_confirmation()).alias("is_confirmation"),
+        _flag(automated() | has_value("update_category", AUTO_REPLY)).alias("is_automated"),
     )
 
 
@@ -66,7 +70,7 @@ def job_groups(jobs: DataFrame) -> DataFrame:
     return jobs.groupBy(F.col("company_clean").alias("l_company"), F.col("role_clean").alias("l_role")).agg(
         F.count("company_clean").alias("linkedin_count"),
         F.min("applied_date").alias("linkedin_date"),
-        _flag(_is("outcome", BOARD_REJECTION)).alias("is_rejected_li"),
+        _flag(has_value("outcome", BOARD_REJECTION)).alias("is_rejected_li"),
     )
 
 

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from applytrail.functions.dates import older_than, period, whole_days
 from applytrail.operators.applications import (
-    BOARD_REJECTION, CONFIRMATION, KEYS, PERSONALITY_TEST, TECHNICAL_TEST, _is, is_interview, is_rejection,
+    BOARD_REJECTION, KEYS, PERSONALITY_TEST, TECHNICAL_TEST,
+    has_value, is_confirmation, is_interview, is_rejection,
 )
 
 # Stage names and their labels on the event timeline.
@@ -29,16 +30,16 @@ def stage_events(mail: DataFrame, jobs: DataFrame) -> DataFrame:
     def entry(condition: Column, stage: str, date: str) -> Column:
         return F.when(condition, F.struct(F.lit(stage).alias("stage"), F.col(date).alias("event_date")))
 
-    test = _is("update_category", PERSONALITY_TEST) | _is("update_category", TECHNICAL_TEST)
+    test = has_value("update_category", PERSONALITY_TEST) | has_value("update_category", TECHNICAL_TEST)
     from_mail = F.array(
-        entry(_is("update_category", CONFIRMATION), "Applied", "date"),
+        entry(is_confirmation(), "Applied", "date"),
         entry(test, "Assessment", "date"),
         entry(is_interview(), "Interview", "date"),
         entry(is_rejection(), "Explicit Rejection", "date"),
     )
     from_board = F.array(
         entry(F.lit(True), "Applied", "applied_date"),
-        entry(_is("outcome", BOARD_REJECTION), "Explicit Rejection", "applied_date"),
+        entry(has_value("outcome", BOARD_REJECTION), "Explicit Rejection", "applied_date"),
     )
     return mail.select(*KEYS, F.inline(F.array_compact(from_mail))).unionByName(
         jobs.select(*KEYS, F.inline(F.array_compact(from_board)))
@@ -243,11 +244,12 @@ def response_rate(apps: DataFrame) -> DataFrame:
     counts = apps.groupBy("final_outcome").agg(
         F.count(F.lit(1)).alias("applications"), F.count_if(answered).alias("_answered")
     )
-    totals = counts.agg(F.sum("applications").alias("_all"), F.sum("_answered").alias("_responded"))
-    return counts.crossJoin(F.broadcast(totals)).select(
+    # at most seven rows are left here, one per outcome
+    whole = Window.partitionBy(F.lit(0))
+    return counts.select(
         "final_outcome", "applications",
-        (F.col("applications") / F.col("_all")).alias("share"),
-        (F.col("_responded") / F.col("_all")).alias("response_rate"),
+        (F.col("applications") / F.sum("applications").over(whole)).alias("share"),
+        (F.sum("_answered").over(whole) / F.sum("applications").over(whole)).alias("response_rate"),
     )
 
 

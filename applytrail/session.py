@@ -26,6 +26,7 @@ def local_session(app: str, cores: str = "*", shuffle_partitions: int = 8) -> Sp
         .appName(app)
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
     for key, value in SETTINGS.items():
