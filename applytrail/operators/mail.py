@@ -204,4 +204,5 @@ def clean_message(df: DataFrame) -> DataFrame:
 
 def with_message_key(df: DataFrame) -> DataFrame:
     """Deterministic name of the clean record, from send time and sender."""
-    return df.withColumn("message_key", X.message_key(parse_mixed_utc(F.col("date")), F.col("from")))
+    return df.withColumn("message_key", X.message_key(
+        parse_mixed_utc(F.col("date")), F.col("from"), F.col("filename")))
