@@ -103,46 +103,69 @@ REQUIREMENT_FLAGS = (
 QUESTION_TYPE = "array<struct<position:int,question:string,answer:string>>"
 
 
+INDUSTRY_PREFIX = "urn:li:industry:"
+INDUSTRIES = {t: synonyms for t, synonyms in TOPICS.items() if t.startswith("Ind_")}
+SKILLS = {t: synonyms for t, synonyms in TOPICS.items() if t not in INDUSTRIES}
+
+
 def _words(synonyms: tuple[str, ...]) -> str:
     return r"(?U)\b(?:" + "|".join(re.escape(s) for s in synonyms) + r")\b"
 
 
-ANY_TOPIC = _words(tuple(s for synonyms in TOPICS.values() for s in synonyms))
+WORD_BREAK = r"(?U)\W+"
+# a synonym of word characters only is looked up among a text's words, any other is a phrase
+PHRASES = [(s, t) for t, synonyms in SKILLS.items() for s in synonyms if not s.isalnum()]
+TOPICS_OF_WORD: dict[str, list[str]] = {}
+for _topic, _synonyms in SKILLS.items():
+    for _word in filter(str.isalnum, _synonyms):
+        TOPICS_OF_WORD.setdefault(_word, []).append(_topic)
 
 
 def parse_questions(c: Column) -> Column:
     """``q: a | q: a`` text to an array of (position, question, answer).
 
-    A repeated question keeps its first position and its last answer.
+    A repeated question keeps its first position and its last answer. Every step reads
+    the one before it through its lambda argument: a column used inside a lambda would
+    be worked out again for each element.
     """
-    fields = F.split(c, r"(?U)\s*\|\s*(?=[^|:]+:)")
-    pairs = F.filter(fields, lambda f: f.contains(":"))
-    parsed = F.transform(pairs, lambda f, i: F.struct(
-        i.alias("position"),
+    fields = F.filter(F.split(c, r"(?U)\s*\|\s*(?=[^|:]+:)"), lambda f: f.contains(":"))
+    pairs = F.transform(fields, lambda f: F.struct(
         strip(F.substring_index(f, ":", 1)).alias("question"),
         strip(F.substring(f, F.instr(f, ":") + 1, F.length(f))).alias("answer"),
     ))
-    names = F.transform(parsed, lambda q: q["question"])
-    distinct = F.transform(F.array_distinct(names), lambda name: F.struct(
-        F.array_position(names, name).cast("int").alias("position"),
-        name.alias("question"),
-        F.element_at(F.filter(parsed, lambda q: q["question"] == name), -1)["answer"].alias("answer"),
-    ))
-    # positions count distinct questions, starting at 1
-    renumbered = F.transform(distinct, lambda q, i: F.struct(
-        (i + 1).alias("position"), q["question"].alias("question"), q["answer"].alias("answer"),
-    ))
-    return F.coalesce(renumbered, F.array().cast(QUESTION_TYPE))
+
+    def row(position: Column, question: Column, answer: Column) -> Column:
+        return F.struct(position.alias("position"), question.alias("question"), answer.alias("answer"))
+
+    def add(seen: Column, q: Column) -> Column:
+        again = F.exists(seen, lambda s: s["question"] == q["question"])
+        replaced = F.transform(seen, lambda s: row(
+            s["position"], s["question"],
+            F.when(s["question"] == q["question"], q["answer"]).otherwise(s["answer"])))
+        appended = F.concat(seen, F.array(row(F.size(seen) + 1, q["question"], q["answer"])))
+        return F.when(again, replaced).otherwise(appended)
+
+    none = F.array().cast(QUESTION_TYPE)
+    return F.coalesce(F.aggregate(pairs, none, add), none)
 
 
 def with_questions(df: DataFrame, source: str = "Question And Answers") -> DataFrame:
     return df.withColumn("questions", parse_questions(F.col(f"`{source}`")))
 
 
+def _rows(exploded: DataFrame, column: str) -> DataFrame:
+    """Rows of an outer explode without the ones standing for an empty array.
+
+    A plain explode makes Spark filter on the array's size first, which computes the
+    whole array a second time.
+    """
+    return exploded.filter(F.col(column).isNotNull())
+
+
 def explode_questions(df: DataFrame) -> DataFrame:
     """Long table: one row per application and distinct question."""
     others = [c for c in df.columns if c != "questions"]
-    return df.select(*others, F.inline("questions"))
+    return _rows(df.select(*others, F.inline_outer("questions")), "position")
 
 
 def is_admin_question(question: Column) -> Column:
@@ -155,52 +178,82 @@ def drop_admin_questions(df: DataFrame) -> DataFrame:
     return df.filter(~is_admin_question(F.col("question")))
 
 
+YEARS_PATTERN = r"(?U)(\d+|" + "|".join(NUMBER_WORDS) + r")\s*\+?\s*years?"
+
+
+def _as_number(word: Column) -> Column:
+    spelled = F.array_position(F.array(*[F.lit(w) for w in NUMBER_WORDS]), word).cast("int")
+    return F.when(word.rlike(r"^\d+$"), word.try_cast("int")).otherwise(F.nullif(spelled, F.lit(0)))
+
+
 def required_years(question: Column) -> Column:
     """The first number, in digits or words, directly before ``year(s)``."""
-    found = F.nullif(
-        F.regexp_extract(F.lower(question), r"(?U)(\d+|" + "|".join(NUMBER_WORDS) + r")\s*\+?\s*years?", 1),
-        F.lit(""),
-    )
-    spelled = F.array_position(F.array(*[F.lit(w) for w in NUMBER_WORDS]), found).cast("int")
-    return F.when(found.rlike(r"^\d+$"), found.try_cast("int")).otherwise(spelled)
+    return _as_number(F.nullif(F.regexp_extract(F.lower(question), YEARS_PATTERN, 1), F.lit("")))
+
 
+def skill_topics(lowered: Column, words: Column) -> Column:
+    """Skill topics a lower-case text and its words mention.
+
+    Single words are found by lookup; a phrase needs its pattern only where it occurs.
+    """
+    none = F.array().cast("array<string>")
+    known = F.create_map(*[
+        x for word, names in TOPICS_OF_WORD.items()
+        for x in (F.lit(word), F.array(*[F.lit(n) for n in names]))])
+    by_word = F.flatten(F.transform(words, lambda w: F.coalesce(F.try_element_at(known, w), none)))
+    by_phrase = F.array_compact(F.array(*[
+        F.when(lowered.contains(phrase) & lowered.rlike(_words((phrase,))), F.lit(topic))
+        for phrase, topic in PHRASES]))
+    return F.array_distinct(F.concat(by_word, by_phrase))
 
-def topics(text: Column) -> Column:
-    """Names of the topics a text mentions; one combined pattern skips the rest."""
-    lowered = F.lower(text)
-    hits = F.array_compact(F.array(*[
-        F.when(lowered.rlike(_words(synonyms)), F.lit(name)) for name, synonyms in TOPICS.items()
-    ]))
-    return F.when(lowered.rlike(ANY_TOPIC), hits).otherwise(F.array().cast("array<string>"))
 
+def industry_topics(lowered: Column) -> Column:
+    """Industry topics of the codes in a lower-case text."""
+    found = F.array_compact(F.array(*[
+        F.when(lowered.rlike(_words(synonyms)), F.lit(topic)) for topic, synonyms in INDUSTRIES.items()]))
+    return F.when(lowered.contains(INDUSTRY_PREFIX), found).otherwise(F.array().cast("array<string>"))
 
-def unknown_industry(text: Column, found: Column) -> Column:
-    """Topic name of an industry code that no listed industry covers, else null."""
-    code = F.nullif(F.regexp_extract(F.lower(text), r"urn:li:industry:(\d+)", 1), F.lit(""))
-    known = F.exists(found, lambda t: t.startswith("Ind_"))
-    return F.when(~known, F.concat(F.lit("Ind_URN_"), code))
 
+def unlisted_industry(lowered: Column, industries: Column) -> Column:
+    """Topic name of an industry code where no listed industry was found, else null."""
+    code = F.nullif(F.regexp_extract(lowered, INDUSTRY_PREFIX + r"(\d+)", 1), F.lit(""))
+    return F.when(F.size(industries) == 0, F.concat(F.lit("Ind_URN_"), code))
 
-def question_topics(question: Column, answer: Column, whole_field: bool = True) -> Column:
-    """Topics of one question.
 
-    Industry codes sit in the answer, after the first colon. ``whole_field`` looks
-    for industry topics over question and answer; other topics only read questions.
+def read_questions(questions: Column, whole_field: bool = True) -> Column:
+    """Question structs plus their ``topics``, ``required_years`` and requirement ``flags``.
+
+    Industry codes sit in the answer, after the first colon. ``whole_field`` looks for
+    them over question and answer; other topics only read questions.
     """
-    listed = topics(question)
-    field = question
-    if whole_field:
-        field = F.concat_ws(":", question, answer)
-        listed = F.array_union(listed, F.filter(topics(field), lambda t: t.startswith("Ind_")))
-    return F.array_compact(F.array_append(listed, unknown_industry(field, listed)))
+    lowered = F.transform(questions, lambda q: F.struct(
+        q["position"].alias("position"), q["question"].alias("question"), q["answer"].alias("answer"),
+        F.lower(q["question"]).alias("text"),
+        F.split(F.lower(q["question"]), WORD_BREAK).alias("words"),
+        F.lower(F.concat_ws(":", q["question"], q["answer"]) if whole_field else q["question"]).alias("field"),
+    ))
+    found = F.transform(lowered, lambda q: F.struct(
+        q["position"].alias("position"), q["question"].alias("question"), q["answer"].alias("answer"),
+        q["field"].alias("field"),
+        skill_topics(q["text"], q["words"]).alias("skills"),
+        industry_topics(q["field"]).alias("industries"),
+        F.nullif(F.regexp_extract(q["text"], YEARS_PATTERN, 1), F.lit("")).alias("number"),
+        F.array_compact(F.array(*[f(q["text"]) for f in (work_mode_flag, visa_flag, degree_flag)])).alias("flags"),
+    ))
+    return F.transform(found, lambda q: F.struct(
+        q["position"].alias("position"), q["question"].alias("question"), q["answer"].alias("answer"),
+        F.array_compact(F.array_append(
+            F.concat(q["skills"], q["industries"]), unlisted_industry(q["field"], q["industries"]))).alias("topics"),
+        _as_number(q["number"]).alias("required_years"),
+        q["flags"].alias("flags"),
+    ))
 
 
 def tag_topics(df: DataFrame, whole_field: bool = True) -> DataFrame:
-    """Long question table with the topics and required years of each question."""
-    return df.withColumns({
-        "topics": question_topics(F.col("question"), F.col("answer"), whole_field),
-        "required_years": required_years(F.col("question")),
-    })
+    """Long table of the questions that count, with topics, required years and flags."""
+    others = [c for c in df.columns if c != "questions"]
+    kept = F.filter("questions", lambda q: ~is_admin_question(q["question"]))
+    return _rows(df.select(*others, F.inline_outer(read_questions(kept, whole_field))), "position")
 
 
 def work_mode_flag(question: Column) -> Column:
@@ -232,37 +285,33 @@ def with_features(df: DataFrame, whole_field: bool = True) -> DataFrame:
     last question's count stays.
     """
     kept = F.filter("questions", lambda q: ~is_admin_question(q["question"]))
-    df = df.withColumn("_lowered", F.transform(kept, lambda q: F.struct(
-        F.lower(q["question"]).alias("question"), F.lower(q["answer"]).alias("answer"))))
-    df = df.withColumn("_read", F.transform("_lowered", lambda q: F.struct(
-        question_topics(q["question"], q["answer"], whole_field).alias("topics"),
-        required_years(q["question"]).alias("years"),
-        F.array_compact(F.array(*[f(q["question"]) for f in (work_mode_flag, visa_flag, degree_flag)]))
-        .alias("flags"),
-    )))
-    feature = "array<struct<feature:string,years:int>>"
+    feature_type = "array<struct<feature:string,years:int>>"
 
     def named(names: Column, prefix: str, years: Column) -> Column:
         return F.transform(names, lambda n: F.struct(
             F.concat(F.lit(prefix), n).alias("feature"), years.cast("int").alias("years")))
 
     none = F.lit(None)
-    df = df.withColumn("_features", F.flatten(F.transform("_read", lambda r: F.concat(
+    listed = F.flatten(F.transform(read_questions(kept, whole_field), lambda r: F.concat(
         named(r["topics"], "Ask_", none),
-        F.when(r["years"].isNotNull(), named(r["topics"], "Req_Years_", r["years"]))
-        .otherwise(F.array().cast(feature)),
+        F.when(r["required_years"].isNotNull(), named(r["topics"], "Req_Years_", r["required_years"]))
+        .otherwise(F.array().cast(feature_type)),
         named(r["flags"], "", none),
-    ))))
-    names = F.array_distinct(F.transform("_features", lambda f: f["feature"]))
-    last = F.transform(names, lambda n: F.element_at(
-        F.filter("_features", lambda f: f["feature"] == n), -1)["years"])
-    return df.withColumn("features", F.map_from_arrays(names, last)).drop("_lowered", "_read", "_features")
+    )))
+
+    def add(seen: Column, f: Column) -> Column:
+        again = F.exists(seen, lambda s: s["feature"] == f["feature"])
+        replaced = F.transform(seen, lambda s: F.when(s["feature"] == f["feature"], f).otherwise(s))
+        return F.when(again, replaced).otherwise(F.concat(seen, F.array(f)))
+
+    return df.withColumn("features", F.map_from_entries(
+        F.aggregate(listed, F.array().cast(feature_type), add)))
 
 
 def long_features(df: DataFrame) -> DataFrame:
     """One (feature, years) row per feature an application shows."""
     others = [c for c in df.columns if c not in ("features", "questions")]
-    return df.select(*others, F.explode("features").alias("feature", "years"))
+    return _rows(df.select(*others, F.explode_outer("features").alias("feature", "years")), "feature")
 
 
 def pinned_features() -> list[str]:

@@ -1,6 +1,6 @@
 """All registered queries and oracles."""
 
-from checks import analytics  # noqa: F401
+from checks import analytics, texts  # noqa: F401
 from checks.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
