@@ -34,4 +34,14 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     """
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spread(df.sparkSession.read.schema(df.schema).parquet(path))
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """A scan of at least as many partitions as there are cores.
+
+    Only a small input, stored in too few files to occupy the cores, is reshuffled; large
+    ones pass unchanged. For scans ahead of work that is heavy per row.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)

@@ -12,6 +12,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from applytrail.sources.scratch import spread
+
 DRIVER_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "pages", "conversations",
@@ -162,6 +164,8 @@ STANDINS = {
     "match_mail": MATCH_MAIL,
     "match_jobs": MATCH_JOBS,
 }
+# one driver table each, and heavy work per row ahead
+SCAN_ONLY = ("emails", "questions", "match_mail", "match_jobs")
 NEEDS = {"emails": ("mail_facts",), "mail_rows": ("mail_facts",)}
 
 
@@ -173,7 +177,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table or stand-in. Instants without a zone are taken as UTC."""
     if name not in STANDINS:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spark.sql(_inlined(name, sf_dir))
+    df = spark.sql(_inlined(name, sf_dir))
+    return spread(df) if name in SCAN_ONLY else df
 
 
 def _inlined(name: str, sf_dir: str) -> str:
