@@ -193,7 +193,7 @@ def outcome_flows(apps: DataFrame, asof: Column) -> DataFrame:
     return _edges(counts, [(s, t, f"edge_{i}") for i, (s, t, _) in enumerate(flows)])
 
 
-def pipeline_totals(funnel: DataFrame) -> DataFrame:
+def stage_totals(funnel: DataFrame) -> DataFrame:
     """Totals over the stage funnel in one row: tests, interviews, ends by furthest stage."""
     test, interview, rejected = F.col("hit_test"), F.col("hit_interview"), F.col("hit_rejection")
     counts = funnel.agg(

@@ -125,14 +125,14 @@ def _(spark, sf_dir):
     return N.stage_flows(stage_funnel(spark, sf_dir))
 
 
-@query("pipeline_totals", f"""WITH {FUNNEL}, c AS (SELECT count(*) AS total_apps, count(*) FILTER (WHERE hit_test) AS tests,
+@query("stage_totals", f"""WITH {FUNNEL}, c AS (SELECT count(*) AS total_apps, count(*) FILTER (WHERE hit_test) AS tests,
   count(*) FILTER (WHERE hit_interview) AS interviews, count(*) FILTER (WHERE outcome = 'Ghosted') AS ghosted_total,
   count(*) FILTER (WHERE outcome = 'Active') AS active_total, count(*) FILTER (WHERE outcome = 'Rejection') AS rejected_total,
   count(*) FILTER (WHERE hit_interview AND hit_rejection) AS rej_after_interview,
   count(*) FILTER (WHERE hit_test AND NOT hit_interview AND hit_rejection) AS rej_after_test FROM funnel)
   SELECT *, rejected_total - rej_after_interview - rej_after_test AS rej_at_screening FROM c""")
 def _(spark, sf_dir):
-    return N.pipeline_totals(stage_funnel(spark, sf_dir))
+    return N.stage_totals(stage_funnel(spark, sf_dir))
 
 
 NOTHING = "has_test = 0 AND has_interview = 0"

@@ -66,7 +66,7 @@ def test_outcome_boundary_at_three_weeks(spark):
 def test_stage_flow_edges_conserve_the_total(spark):
     flows = QUERIES["stage_flows"](spark, SMALL)
     ends = flows.filter(F.col("target").isin("Rejected", "Ghosted", "Still Active")).agg(F.sum("value")).first()[0]
-    assert ends == QUERIES["pipeline_totals"](spark, SMALL).first().total_apps
+    assert ends == QUERIES["stage_totals"](spark, SMALL).first().total_apps
 
 
 def test_upsert_is_idempotent_and_keeps_created_at(spark):
