@@ -164,16 +164,18 @@ def resolve(mail: DataFrame, jobs: DataFrame, store: DataFrame, asof: Column, ru
     batch's other mails of the same name. Board jobs nobody claimed become records too.
     The outcome does not depend on the order or partitioning of the inputs.
     """
-    mail = cut(mail_names(mail.select(*MAIL_COLUMNS)), "resolve-mail")
+    # records hold the opening of a body only, so no more of it is written out
+    mail = mail_names(mail.select(*MAIL_COLUMNS)).withColumn("body", X.preview(F.col("body")))
+    mail = cut(mail, "resolve-mail")
     board = cut(board_jobs(jobs.filter(F.col("application_date").isNotNull())), "resolve-board")
-    masters = cut(first_per_key(store), "resolve-masters")
     board_fields = [c for c in board.columns if c.startswith("linkedin_")]
-    master_fields = [c for c in masters.columns if c.startswith("linkedin_")]
+    master_fields = [c for c in store.columns if c.startswith("linkedin_")]
     name = ["job_id", "company_name", "job_title", "application_date"]
+    masters = cut(first_per_key(store).select(*name, *master_fields), "resolve-masters")
 
     stored = cut(best_match(mail, masters.select(*name), "job_id", None, rule), "resolve-stored")
     in_store = mail.join(stored.select("filename", "job_id"), "filename").join(
-        masters.select(*name, *master_fields), "job_id")
+        masters, "job_id")
 
     rest = mail.join(stored, "filename", "left_anti")
     on_board = cut(match_board(rest, board, rule), "resolve-on-board")
