@@ -18,6 +18,7 @@ from applytrail.functions.text import clean_bool, nullify
 from applytrail.operators.mail import CLEAN_FIELDS, RAW_ANALYSIS_TYPE, conform_analysis
 from applytrail.operators.rows import union_sources
 from applytrail.operators.savedjobs import saved_jobs
+from applytrail.sources.scratch import spread
 
 
 def _strings(names) -> T.StructType:
@@ -138,7 +139,7 @@ def feature_jobs(features: DataFrame) -> DataFrame:
 
 def read_saved_jobs(spark: SparkSession, path: str, asof: Column) -> DataFrame:
     """Pasted dumps, one text per file, parsed to saved jobs."""
-    return saved_jobs(spark.read.text(path, wholetext=True), asof)
+    return saved_jobs(spread(spark.read.text(path, wholetext=True)), asof)
 
 
 def sync_missing(source: DataFrame, done: DataFrame, key: str = "filename") -> DataFrame:
