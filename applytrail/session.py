@@ -1,7 +1,13 @@
 """Session settings the library relies on."""
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
+import applytrail
+
+# functions travel to the executors with the plan: the package need not be installed there
+cloudpickle.register_pickle_by_value(applytrail)
+
 SETTINGS = {
     # every timestamp comparison in the library is done in UTC
     "spark.sql.session.timeZone": "UTC",
