@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from applytrail.llm import quality_rules
+from applytrail.llm import quality_rules, simhash
 from applytrail.llm.common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,3 +72,10 @@ FROM ratios
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query("op4_simhash_near_dedup")
+def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return rows.select(F.col("id").alias("doc_id"), simhash.hex16(F.col("fp")).alias("fingerprint"),
+                       F.col("component").alias("component_id"))
