@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from applytrail.llm import quality_rules, simhash
+from applytrail.llm import quality_rules, simhash, token_counts
 from applytrail.llm.common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -15,6 +16,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
+WORD_VOCABULARY = "word_bpe_49k.json"
+
 
 def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
     def register(fn: Query) -> Query:
@@ -79,3 +82,9 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return rows.select(F.col("id").alias("doc_id"), simhash.hex16(F.col("fp")).alias("fingerprint"),
                        F.col("component").alias("component_id"))
+
+
+@query("op10_token_counts")
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_VOCABULARY))
+    return rows.withColumnRenamed("id", "doc_id")
