@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from applytrail.llm import quality_rules, simhash, token_counts
+from applytrail.llm import decontamination, quality_rules, simhash, token_counts
 from applytrail.llm.common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,3 +88,31 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_VOCABULARY))
     return rows.withColumnRenamed("id", "doc_id")
+
+
+_CONTAINED_SQL = r"""
+WITH words AS (
+  SELECT kind, id, [y FOR y IN [trim(x, '.,;:!?"''()[]{}|#*$%&<>') FOR x IN
+      regexp_split_to_array(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[\x20\x09-\x0D]+')] IF y <> ''] AS w
+  FROM (SELECT 0 AS kind, doc_id AS id, coalesce(text, '') AS t FROM documents
+        UNION ALL SELECT 1, item_id, coalesce(text, '') FROM benchmark)),
+items AS (
+  SELECT DISTINCT id AS item_id, k, w[i:i + k - 1] AS s
+  FROM (SELECT id, w, least(5, len(w)) AS k, unnest(range(1, len(w) - least(5, len(w)) + 2)) AS i
+        FROM words WHERE kind = 1 AND len(w) > 0)),
+sizes AS (SELECT item_id, count(*) AS shingles FROM items GROUP BY item_id),
+docs AS (
+  SELECT DISTINCT id AS doc_id, k, w[i:i + k - 1] AS s
+  FROM (SELECT id, w, k, unnest(range(1, len(w) - k + 2)) AS i
+        FROM words, (SELECT DISTINCT k FROM items) WHERE kind = 0 AND len(w) >= k)),
+shared AS (SELECT doc_id, item_id, count(*) AS shared FROM docs JOIN items USING (k, s) GROUP BY doc_id, item_id)
+SELECT doc_id, item_id, shared::INT AS shared, shingles::INT AS shingles, shared / shingles AS containment
+FROM shared JOIN sizes USING (item_id) WHERE 10 * shared >= 8 * shingles
+"""
+
+
+@query("op5_benchmark_decontamination", _CONTAINED_SQL)
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")) \
+        .withColumnRenamed("id", "doc_id")

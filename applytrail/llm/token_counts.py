@@ -27,7 +27,7 @@ LONGEST = 32            # code points of a run kept in the table or the cache
 CACHE_SIZE = 200_000    # entries of a task's cache; a full cache starts anew
 
 # the library's white space, and the characters only Python's split() takes for white space
-WHITE = re.compile("[\t-\r \x85\xa0  -     　]+")
+WHITE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 PYTHON_ONLY = re.compile(r"[\x1c-\x1f]")
 
 
