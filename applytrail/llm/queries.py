@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from applytrail.llm import decontamination, quality_rules, simhash, token_counts
-from applytrail.llm.common import prepare, table
+from applytrail.llm import decontamination, language_id, quality_rules, simhash, token_counts
+from applytrail.llm.common import fold, prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -116,3 +116,11 @@ FROM shared JOIN sizes USING (item_id) WHERE 10 * shared >= 8 * shingles
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")) \
         .withColumnRenamed("id", "doc_id")
+
+
+@query("op6_language_id")
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    profiles = language_id.learn_profiles(language_id.training_rows(docs, fold(F.col("doc_id"), 3) != 1))
+    return language_id.identify(docs, profiles).select(
+        F.col("id").alias("doc_id"), (fold(F.col("id"), 3) == 1).alias("held_out"), "lang_pred", "score")
