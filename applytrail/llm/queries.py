@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from applytrail.llm import decontamination, language_id, quality_rules, simhash, token_counts
+from applytrail.llm import decontamination, language_id, quality_rules, simhash, token_counts, toxicity
 from applytrail.llm.common import fold, prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -124,3 +124,11 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     profiles = language_id.learn_profiles(language_id.training_rows(docs, fold(F.col("doc_id"), 3) != 1))
     return language_id.identify(docs, profiles).select(
         F.col("id").alias("doc_id"), (fold(F.col("id"), 3) == 1).alias("held_out"), "lang_pred", "score")
+
+
+@query("op2_toxicity")
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    rows = toxicity.training_rows(docs, table(spark, sf_dir, "labels"), fold(F.col("doc_id"), 4) != 2)
+    return toxicity.score(docs, toxicity.train(rows)).select(
+        F.col("id").alias("doc_id"), (fold(F.col("id"), 4) == 2).alias("held_out"), "score", "predicted")
