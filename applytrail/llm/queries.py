@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from applytrail.llm import decontamination, language_id, quality_rules, simhash, token_counts, toxicity
+from applytrail.llm import decontamination, language_id, quality_rules, secrets, simhash, token_counts, toxicity
 from applytrail.llm.common import fold, prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -132,3 +132,16 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = toxicity.training_rows(docs, table(spark, sf_dir, "labels"), fold(F.col("doc_id"), 4) != 2)
     return toxicity.score(docs, toxicity.train(rows)).select(
         F.col("id").alias("doc_id"), (fold(F.col("id"), 4) == 2).alias("held_out"), "score", "predicted")
+
+
+@query("op1_secret_scan")
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    rows = secrets.scan(docs, secrets.learn_formats(secrets.training_texts(docs)))
+    base = F.filter("spans", lambda s: s["kind"] != "inferred")
+    listed = lambda spans: F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    return rows.select(
+        F.col("id").alias("doc_id"), *[count(k).alias(f"n_{k}") for k in secrets.KINDS],
+        F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
