@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from applytrail.llm import decontamination, language_id, quality_rules, secrets, simhash, token_counts, toxicity
-from applytrail.llm.common import fold, prepare, table
+from applytrail.llm import decontamination, language_id, pieces, quality_rules, secrets, simhash, token_counts, toxicity
+from applytrail.llm.common import fold, prepare, table, whole_text
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +17,7 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 WORD_VOCABULARY = "word_bpe_49k.json"
+PIECE_VOCABULARY = "piece_bpe_32k.model"
 
 
 def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
@@ -145,3 +146,14 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(
         F.col("id").alias("doc_id"), *[count(k).alias(f"n_{k}") for k in secrets.KINDS],
         F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+
+
+@query("op3_sentencepiece")
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, path = table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_VOCABULARY)
+    rows = docs.select("doc_id", whole_text().alias("t"), pieces.ids_of(docs, path).alias("ids"))
+    back = rows.select("*", pieces.text_of(rows, path).alias("decoded"))
+    return back.select(
+        "doc_id", F.size("ids").cast("long").alias("n_pieces"),
+        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"), (F.col("decoded") == F.col("t")).alias("round_trip"))
