@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from applytrail.llm import decontamination, language_id, pieces, quality_rules, secrets, simhash, token_counts, toxicity
+from applytrail.llm import decontamination, language_id, pieces, quality_rules, secrets, simhash, token_counts, toxicity, warc
 from applytrail.llm.common import fold, prepare, table, whole_text
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -157,3 +157,10 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.size("ids").cast("long").alias("n_pieces"),
         F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"), (F.col("decoded") == F.col("t")).alias("round_trip"))
+
+
+@query("op8_warc")
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    where = warc.archive(warc.captures(pages))
+    return warc.lookup(pages, where).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
