@@ -17,8 +17,9 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from applytrail.llm.common import whole_text
 
@@ -154,3 +155,22 @@ def contained(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str
         part = rows.mapInPandas(search, schema)
         found = part if found is None else found.union(part)
     return found.withColumn("containment", F.col("shared") / F.col("shingles"))
+
+
+def contains_any(docs: DataFrame, items: DataFrame, text: str = "text", item_key: str = "item_id", item_text: str = "text",
+                 width: int = WIDTH, threshold: float = THRESHOLD, block_chars: int = BLOCK_CHARS) -> Column:
+    """Whether a row's text contains an item; false for null texts and without items."""
+    found = F.lit(False)
+    for block in item_blocks(items, item_key, item_text, block_chars):
+        shipped = docs.sparkSession.sparkContext.broadcast(Items.of(block, width, threshold))
+        found = found | _holds_item(shipped, threshold)(whole_text(text))
+    return found
+
+
+def _holds_item(shipped, threshold: float):
+    @F.pandas_udf(T.BooleanType())
+    def search(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        ready = shipped.value.ready()
+        for texts in batches:
+            yield pd.Series([bool(ready.contained_in(t, threshold)) for t in texts], dtype=bool)
+    return search

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from applytrail.llm import decontamination, language_id, pieces, quality_rules, secrets, simhash, token_counts, toxicity, warc
+from applytrail.llm import decontamination, language_id, pieces, quality_model, quality_rules, secrets, simhash, token_counts, toxicity, warc
 from applytrail.llm.common import fold, prepare, table, whole_text
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -164,3 +165,16 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     where = warc.archive(warc.captures(pages))
     return warc.lookup(pages, where).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op9_quality_classifier")
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = quality_model.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"),
+                               fold(F.col("doc_id"), 4) != 2)
+    return rows.select(F.col("id").alias("doc_id"), (fold(F.col("id"), 4) == 2).alias("held_out"), "document", "host_mean",
+                       "path_mean", "score", "predicted")
+
+
+QUERIES["pipeline"] = lambda spark, sf_dir: corpus_pipeline.run(prepare(spark), sf_dir)
+if corpus_pipeline.ORACLE_SQL is not None:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
