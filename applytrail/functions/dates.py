@@ -101,8 +101,11 @@ def relative_to_date(c: Column, asof: Column, legacy_minutes: bool = False) -> C
     text = F.lower(c)
     units = "(m|h|d|w|yr)" if legacy_minutes else "(mo|yr|m|h|d|w)"
     pattern = r"(\d+)\s*" + units
-    count = F.nullif(F.regexp_extract(text, pattern, 1), F.lit("")).try_cast("int") + 1
+    digits = F.regexp_extract(text, pattern, 1)
     unit = F.regexp_extract(text, pattern, 2)
+    # absurd ages have no date: over 999 years, 9,999 months or 99,999 of a smaller unit
+    longest = F.when(unit == "yr", 3).when(unit == "mo", 4).otherwise(5)
+    count = F.when(F.length(digits) <= longest, digits.try_cast("int")) + 1
     zero = F.lit(0)
     second = F.make_dt_interval(zero, zero, zero, F.lit(1).cast("decimal(18,6)"))
     aged = (

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from applytrail.functions import text as X
 from applytrail.functions.dates import parse_mixed_utc
+from applytrail.operators.rows import pick_one
 
 # The extracted fields, in their documented order.
 ANALYSIS_FIELDS = (
@@ -206,3 +207,17 @@ def with_message_key(df: DataFrame) -> DataFrame:
     """Deterministic name of the clean record, from send time and sender."""
     return df.withColumn("message_key", X.message_key(
         parse_mixed_utc(F.col("date")), F.col("from"), F.col("filename")))
+
+
+def content_key() -> Column:
+    """What tells two mails of one ``message_key`` apart: whole sender, receiver, subject and body.
+
+    Only true copies agree in it; the message key alone has whole seconds and a shortened sender.
+    """
+    return X.content_digest(*[F.col(c) for c in ("from", "to", "subject", "body")])
+
+
+def distinct_mails(df: DataFrame) -> DataFrame:
+    """One mail per message key and content; of true copies the last file name stays."""
+    return pick_one(df.withColumn("_content", content_key()), ["message_key", "_content"],
+                    [F.col("filename").desc_nulls_last()]).drop("_content")

@@ -138,22 +138,42 @@ def unmatched_jobs(jobs: DataFrame, matched: DataFrame, slugs: DataFrame) -> Dat
 def orphan_leaders(orphans: DataFrame) -> DataFrame:
     """One new job per normalised name among unmatched mails, named after its first mail.
 
+    A name with an empty part says too little: such mails share a job only within a day.
     The winner per name is a running minimum, so a name held by very many mails is
     reduced map-side before it is joined back.
     """
     keyed = orphans.withColumns({
         "_company": X.norm_company(F.col("company")), "_title": X.norm_title(F.col("role"))})
-    first = keyed.groupBy("_company", "_title").agg(
+    blank = (F.coalesce("_company", F.lit("")) == "") | (F.coalesce("_title", F.lit("")) == "")
+    keyed = keyed.withColumn("_day", F.when(blank, F.coalesce(F.date_format("date", "yyyyMMdd"), F.lit("unknown"))).otherwise(""))
+    first = keyed.groupBy("_company", "_title", "_day").agg(
         F.min(F.struct(F.col("date").isNull().alias("undated"), "date", "filename", "company", "role")).alias("_f"))
     unknown = F.lit(UNKNOWN)
     leaders = first.select(
-        "_company", "_title",
+        "_company", "_title", "_day",
         X.slug(F.col("_f.company"), F.col("_f.role"), F.col("_f.date")).alias("job_id"),
         F.coalesce(F.nullif(F.col("_f.company"), F.lit("")), unknown).alias("company_name"),
         F.coalesce(F.nullif(F.col("_f.role"), F.lit("")), unknown).alias("job_title"),
         F.col("_f.date").alias("application_date"),
     )
-    return keyed.join(leaders, ["_company", "_title"]).drop("_company", "_title")
+    return keyed.join(leaders, ["_company", "_title", "_day"]).drop("_company", "_title", "_day")
+
+
+MAIL_KEY = "mail_key"
+
+
+def one_per_mail(mail: DataFrame) -> DataFrame:
+    """Mails under ``mail_key``, a digest of file name, date, sender and content.
+
+    File names repeat between folders; only true copies share a key, and one of them stays.
+    """
+    told = [F.col(c) for c in ("filename", "from", "to", "subject", "body", "company", "role")]
+    return mail.withColumn(MAIL_KEY, X.content_digest(*told, F.unix_micros("date").cast("string"))).dropDuplicates([MAIL_KEY])
+
+
+def keyed_by_mail(mail: DataFrame) -> DataFrame:
+    """The mails as ``best_match`` reads them, the key in the place of the file name."""
+    return mail.withColumn("filename", F.col(MAIL_KEY))
 
 
 def resolve(mail: DataFrame, jobs: DataFrame, store: DataFrame, asof: Column, rule: MatchRule = RULE) -> DataFrame:
@@ -165,7 +185,7 @@ def resolve(mail: DataFrame, jobs: DataFrame, store: DataFrame, asof: Column, ru
     The outcome does not depend on the order or partitioning of the inputs.
     """
     # records hold the opening of a body only, so no more of it is written out
-    mail = mail_names(mail.select(*MAIL_COLUMNS)).withColumn("body", X.preview(F.col("body")))
+    mail = one_per_mail(mail_names(mail.select(*MAIL_COLUMNS))).withColumn("body", X.preview(F.col("body")))
     mail = cut(mail, "resolve-mail")
     board = cut(board_jobs(jobs.filter(F.col("application_date").isNotNull())), "resolve-board")
     board_fields = [c for c in board.columns if c.startswith("linkedin_")]
@@ -173,22 +193,22 @@ def resolve(mail: DataFrame, jobs: DataFrame, store: DataFrame, asof: Column, ru
     name = ["job_id", "company_name", "job_title", "application_date"]
     masters = cut(first_per_key(store).select(*name, *master_fields), "resolve-masters")
 
-    stored = cut(best_match(mail, masters.select(*name), "job_id", None, rule), "resolve-stored")
-    in_store = mail.join(stored.select("filename", "job_id"), "filename").join(
+    stored = cut(best_match(keyed_by_mail(mail), masters.select(*name), "job_id", None, rule).withColumnRenamed("filename", MAIL_KEY), "resolve-stored")
+    in_store = mail.join(stored.select(MAIL_KEY, "job_id"), MAIL_KEY).join(
         masters, "job_id")
 
-    rest = mail.join(stored, "filename", "left_anti")
-    on_board = cut(match_board(rest, board, rule), "resolve-on-board")
+    rest = mail.join(stored, MAIL_KEY, "left_anti")
+    on_board = cut(match_board(keyed_by_mail(rest), board, rule).withColumnRenamed("filename", MAIL_KEY), "resolve-on-board")
     claimed = board.join(on_board.select("job_ref").distinct(), "job_ref", "left_semi")
-    from_board = rest.join(on_board.select("filename", "job_ref"), "filename").join(
+    from_board = rest.join(on_board.select(MAIL_KEY, "job_ref"), MAIL_KEY).join(
         board.select("job_ref", *name, *board_fields), "job_ref")
 
-    rest = rest.join(on_board, "filename", "left_anti")
+    rest = rest.join(on_board, MAIL_KEY, "left_anti")
     new_masters = cut(pick_one(claimed, ["job_id"], [F.col("job_ref")]).select(*name, *board_fields), "resolve-new")
-    joined = cut(best_match(rest, new_masters.select(*name), "job_id", None, rule), "resolve-joined")
-    with_new = rest.join(joined.select("filename", "job_id"), "filename").join(new_masters, "job_id")
+    joined = cut(best_match(keyed_by_mail(rest), new_masters.select(*name), "job_id", None, rule).withColumnRenamed("filename", MAIL_KEY), "resolve-joined")
+    with_new = rest.join(joined.select(MAIL_KEY, "job_id"), MAIL_KEY).join(new_masters, "job_id")
 
-    orphans = cut(orphan_leaders(rest.join(joined, "filename", "left_anti")), "resolve-orphans")
+    orphans = cut(orphan_leaders(rest.join(joined, MAIL_KEY, "left_anti")), "resolve-orphans")
     known = union_sources(*[d.select("job_id") for d in (masters, new_masters, orphans)])
     alone = unmatched_jobs(board, claimed, known)
     docs = union_sources(

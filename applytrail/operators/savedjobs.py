@@ -104,7 +104,7 @@ def work_type(df: DataFrame) -> DataFrame:
     tag = F.nullif(F.regexp_extract("location", r"(?i)\((remote|hybrid|on-site)\)", 0), F.lit(""))
     word = F.substring(tag, F.lit(2), F.length(tag) - 2)
     return df.withColumns({
-        "work_type": F.concat(F.upper(F.left(word, F.lit(1))), F.lower(F.substring(word, 2, 100))),
+        "work_type": F.concat(F.upper(F.left(word, F.lit(1))), F.lower(F.substr(word, F.lit(2)))),
         "location": F.when(tag.isNotNull(), strip(F.replace("location", tag, F.lit(""))))
                      .otherwise(F.col("location")),
     })

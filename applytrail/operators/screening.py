@@ -362,7 +362,7 @@ def fill_flags(df: DataFrame) -> DataFrame:
 def skill_frequency(long: DataFrame) -> DataFrame:
     """Applications asking for each topic."""
     asked = long.filter(F.col("feature").startswith("Ask_"))
-    return asked.groupBy(F.substring("feature", 5, 200).alias("topic")).agg(
+    return asked.groupBy(F.substr("feature", F.lit(5)).alias("topic")).agg(
         F.count(F.lit(1)).alias("applications")
     )
 
@@ -371,5 +371,5 @@ def skill_by_month(long: DataFrame, date: str) -> DataFrame:
     """Applications asking for each topic, per month."""
     asked = long.filter(F.col("feature").startswith("Ask_"))
     return asked.groupBy(
-        F.substring("feature", 5, 200).alias("topic"), F.date_trunc("month", F.col(date)).alias("month")
+        F.substr("feature", F.lit(5)).alias("topic"), F.date_trunc("month", F.col(date)).alias("month")
     ).agg(F.count(F.lit(1)).alias("applications"))

@@ -31,7 +31,7 @@ INBOX_SCHEMA = T.StructType([*_strings(INBOX_FIELDS).fields, T.StructField("_cor
 INBOX_OPTIONS = {"multiLine": "true", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
 CLEAN_SCHEMA = T.StructType([*_strings(CLEAN_FIELDS).fields, T.StructField("analysis", RAW_ANALYSIS_TYPE)])
 APPLICATION_FIELDS = ("Application Date", "Company Name", "Job Title", "Job Url", "Question And Answers")
-MIME_SCHEMA = _strings(CLEAN_FIELDS)
+MIME_SCHEMA = _strings((*CLEAN_FIELDS, "error"))
 
 
 def inbox_columns(raw: DataFrame) -> DataFrame:
@@ -72,15 +72,24 @@ def parse_mime(content: bytes) -> dict[str, str]:
     return {**{k.lower(): v for k, v in headers.items()}, "body": body}
 
 
+def _mime_row(content: bytes) -> dict[str, str | None]:
+    """A parsed message, or what kept it from being parsed."""
+    try:
+        return {**parse_mime(content), "error": None}
+    except Exception as e:  # whatever a damaged mail raises, it must not stop the others
+        return {"error": f"{type(e).__name__}: {e}"}
+
+
 def _mime_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        parsed = pd.DataFrame([parse_mime(c) for c in batch["content"]], index=batch.index)
+        parsed = pd.DataFrame([_mime_row(c) for c in batch["content"]], index=batch.index,
+                              columns=[*CLEAN_FIELDS, "error"], dtype=object)
         parsed["filename"] = batch["filename"]
-        yield parsed[list(CLEAN_FIELDS)]
+        yield parsed
 
 
 def read_mime(spark: SparkSession, path: str) -> DataFrame:
-    """MIME files as raw messages, ready for ``clean_message``."""
+    """MIME files as raw messages, ready for ``clean_message``; ``error`` marks unreadable ones."""
     files = spark.read.format("binaryFile").load(path)
     named = files.select(F.element_at(F.split("path", "/"), -1).alias("filename"), "content")
     return named.mapInPandas(_mime_rows, MIME_SCHEMA)

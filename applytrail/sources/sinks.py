@@ -10,14 +10,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from applytrail.operators.mail import with_message_key
+from applytrail.operators.mail import distinct_mails, with_message_key
 from applytrail.operators.resolve import RECORD_TYPE, keep_created
 from applytrail.operators.rows import last_per_key, union_sources
 
 
 def write_clean(df: DataFrame, path: str, fmt: str = "json", mode: str = "overwrite") -> None:
-    """Clean mails under a deterministic key; of equal keys the last file name stays."""
-    last_per_key(with_message_key(df), "message_key", ("filename",)).write.mode(mode).format(fmt).save(path)
+    """Clean mails under a deterministic key; of true copies the last file name stays."""
+    distinct_mails(with_message_key(df)).write.mode(mode).format(fmt).save(path)
 
 
 def write_snapshot_csv(df: DataFrame, path: str) -> None:

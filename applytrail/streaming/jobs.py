@@ -17,10 +17,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from applytrail.functions.dates import parse_mixed_utc
 from applytrail.operators.enrich import analyse, split_quarantine
-from applytrail.operators.mail import ANALYSIS_FIELDS, BOOLEAN_FIELDS, CLEAN_FIELDS, INTEGER_FIELDS, clean_message, with_message_key
+from applytrail.operators.mail import ANALYSIS_FIELDS, BOOLEAN_FIELDS, CLEAN_FIELDS, INTEGER_FIELDS, clean_message, distinct_mails, with_message_key
 from applytrail.operators.matching import RULE, MatchRule
 from applytrail.operators.resolve import resolve
-from applytrail.operators.rows import last_per_key
 from applytrail.sources.readers import INBOX_OPTIONS, INBOX_SCHEMA, inbox_columns
 from applytrail.sources.scratch import cut
 from applytrail.sources.sinks import read_store, write_upsert
@@ -66,7 +65,7 @@ def intake_stream(spark: SparkSession, source: str, out: str, quarantine: str, c
     def handle(batch: DataFrame, number: int) -> None:
         good, bad = split_quarantine(batch)
         clean = with_message_key(clean_message(good.select(*CLEAN_FIELDS)))
-        last_per_key(clean, "message_key", ("filename",)).write.mode("overwrite").parquet(f"{out}/run={number}")
+        distinct_mails(clean).write.mode("overwrite").parquet(f"{out}/run={number}")
         bad.write.mode("overwrite").json(f"{quarantine}/run={number}")
 
     return _start(inbox_columns(reader.json(source)), handle, checkpoint)

@@ -13,6 +13,7 @@ from applytrail.operators import mail as M
 from applytrail.operators import rows as R
 from applytrail.plans import tracker
 from checks.oracle_parts import (
+    OUTCOME_BY_STATE,
     APPS, EVENTS, FUNNEL, GROUPS, MAIL, NOW, OUTCOMES, REJECTED, edges,
 )
 from checks.registry import asof, query
@@ -102,11 +103,9 @@ def _(spark, sf_dir):
     return stage_funnel(spark, sf_dir).withColumn("stages", F.array_join("stage_list", "|")).drop("stage_list")
 
 
-@query("outcome7_from_stages", f"""WITH {FUNNEL} SELECT company_clean, role_clean, CASE
-    WHEN hit_rejection AND hit_interview THEN 'Interview Rejection' WHEN hit_rejection AND hit_test THEN 'Failed Assessment'
-    WHEN hit_rejection THEN 'Screening Rejection' WHEN hit_interview THEN 'Active Interview / Offer'
-    WHEN hit_test THEN 'Assessment Pending' WHEN days_since_update > 21 THEN 'Ghosted >3 Weeks'
-    ELSE 'Active / Pending' END AS final_status FROM funnel""")
+@query("outcome7_from_stages", f"""WITH {FUNNEL} SELECT company_clean, role_clean,
+    {OUTCOME_BY_STATE}[1 + 4 * hit_interview::INT + 2 * hit_test::INT + hit_rejection::INT]
+    [1 + coalesce(days_since_update > 21, FALSE)::INT] AS final_status FROM funnel""")
 def _(spark, sf_dir):
     return N.outcome7_from_stages(stage_funnel(spark, sf_dir)).select("company_clean", "role_clean", "final_status")
 

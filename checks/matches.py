@@ -157,9 +157,11 @@ def _(spark, sf_dir):
     return V.inherit_board_fields(docs, single.select("job_id", "linkedin_job_url"))
 
 
-@query("orphan_leaders", f"""WITH {NAMED}, first AS (SELECT nc, nt, arg_min(company, ("date", filename)) AS company,
-    arg_min(role, ("date", filename)) AS role, min("date") AS d FROM m GROUP BY nc, nt)
-  SELECT filename, first.company AS company_name, first.role AS job_title, d AS application_date FROM m JOIN first USING (nc, nt)""")
+@query("orphan_leaders", f"""WITH {NAMED}, dated AS (SELECT *, CASE WHEN nc = '' OR nt = '' THEN strftime("date", '%Y%m%d') ELSE '' END AS day FROM m),
+  first AS (SELECT nc, nt, day, arg_min(company, ("date", filename)) AS company,
+    arg_min(role, ("date", filename)) AS role, min("date") AS d FROM dated GROUP BY nc, nt, day)
+  SELECT filename, first.company AS company_name, first.role AS job_title, d AS application_date
+  FROM dated JOIN first USING (nc, nt, day)""")
 def _(spark, sf_dir):
     led = V.orphan_leaders(table(spark, sf_dir, "match_mail"))
     return led.select("filename", "company_name", "job_title", "application_date")

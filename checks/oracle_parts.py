@@ -81,16 +81,19 @@ apps AS (
     greatest(coalesce(is_rejected_mail, 0), coalesce(is_rejected_li, 0)) AS is_rejected,
     coalesce(distinct_roles, 0) AS distinct_roles, coalesce(mail_count, 0) AS mail_count,
     coalesce(linkedin_count, 0) AS linkedin_count,
-    CASE WHEN mail_date IS NULL THEN linkedin_date WHEN linkedin_date IS NULL THEN mail_date
-         WHEN mail_date < linkedin_date THEN mail_date ELSE linkedin_date END AS first_applied_date
+    least(mail_date, linkedin_date) AS first_applied_date
   FROM mail_groups FULL OUTER JOIN job_groups ON m_company = l_company AND m_role = l_role)"""
 
+# outcome by (interview, test, rejected) as three binary digits, each for a young and an old application
+OUTCOME_BY_STATE = """[['Active / Pending', 'Ghosted >3 Weeks'], ['Screening Rejection', 'Screening Rejection'],
+    ['Assessment Pending', 'Assessment Pending'], ['Failed Assessment', 'Failed Assessment'],
+    ['Active Interview / Offer', 'Active Interview / Offer'], ['Interview Rejection', 'Interview Rejection'],
+    ['Active Interview / Offer', 'Active Interview / Offer'], ['Interview Rejection', 'Interview Rejection']]"""
+
 OUTCOMES = f"""{APPS},
 outcomes AS (
-  SELECT *, CASE WHEN has_interview = 1 THEN CASE WHEN is_rejected = 1 THEN 'Interview Rejection' ELSE 'Active Interview / Offer' END
-      WHEN has_test = 1 THEN CASE WHEN is_rejected = 1 THEN 'Failed Assessment' ELSE 'Assessment Pending' END
-      WHEN is_rejected = 1 THEN 'Screening Rejection'
-      WHEN days_since_app > 21 THEN 'Ghosted >3 Weeks' ELSE 'Active / Pending' END AS final_outcome
+  SELECT *, {OUTCOME_BY_STATE}[1 + 4 * has_interview + 2 * has_test + is_rejected]
+      [1 + coalesce(days_since_app > 21, FALSE)::INT] AS final_outcome
   FROM (SELECT *, greatest(has_p_test, has_t_test) AS has_test,
           datesub('day', first_applied_date, {NOW}) AS days_since_app FROM apps))"""
 

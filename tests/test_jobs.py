@@ -33,6 +33,21 @@ def test_mime(spark, tmp_path):
     assert (got["html.eml"].body, got["html.eml"]["from"]) == ("cafe", "")
 
 
+def test_a_damaged_mime_file_is_marked_and_the_others_stay(spark, tmp_path):
+    (tmp_path / "bad.eml").write_bytes(b'From: a@b.c\nContent-Type: text/plain; charset="x-unknown-9"\n\nhello\n')
+    (tmp_path / "good.eml").write_bytes(b"From: a@b.c\nSubject: Hi\n\nhello\n")
+    got = {r.filename: r for r in readers.read_mime(spark, str(tmp_path)).collect()}
+    assert "LookupError" in got["bad.eml"].error and got["good.eml"].error is None and got["good.eml"].subject == "Hi"
+
+
+def test_mails_of_one_key_are_only_merged_when_equal(spark, tmp_path):
+    rows = [(f, "me@x.y", "s" * 45 + t, "Hi", "", "2024-05-06T10:15:30Z", b) for f, t, b in
+            (("a", "1@x.y", "one"), ("b", "1@x.y", "two"), ("c", "2@x.y", "one"), ("d", "1@x.y", "one"))]
+    df = spark.createDataFrame(rows, "filename string, to string, `from` string, subject string, cc string, date string, body string")
+    sinks.write_clean(df, str(tmp_path / "out"))
+    assert sorted(r.filename for r in spark.read.json(str(tmp_path / "out")).collect()) == ["b", "c", "d"]
+
+
 def test_read_emails_keeps_missing_analysis_null(spark, tmp_path):
     for folder, record in (("processed", {"filename": "a.json", "from": "x", "analysis": {"role": "n/a", "is_automated": True}}),
                            ("unprocessed", {"filename": "b.json", "from": "y"})):

@@ -66,6 +66,14 @@ def test_message_key_never_uses_the_clock(spark):
     keys = [r[0] for r in df.select(X.message_key(D.parse_mixed_utc(F.col("d")), F.col("s"), F.col("f"))).collect()]
     assert keys[0] == "1714990530000_a_b_c_d" and keys[3] == "1714990530000_unknown"
     assert keys[1].startswith("unknown-") and keys[1] != keys[2]
+    empty = spark.createDataFrame([("2024-05-06T10:15:30Z", " ", "f")], "d string, s string, f string")
+    assert empty.select(X.message_key(D.parse_mixed_utc(F.col("d")), F.col("s"))).first()[0] == "1714990530000_unknown"
+
+
+def test_content_digest_keeps_nulls_and_borders_apart(spark):
+    rows = [("ab", "c"), ("a", "bc"), (None, "c"), ("", "c"), ("-", "c")]
+    df = spark.createDataFrame(rows, "a string, b string")
+    assert df.select(X.content_digest(F.col("a"), F.col("b"))).distinct().count() == len(rows)
 
 
 def test_role_family_first_match_wins(column):
@@ -98,4 +106,5 @@ def test_relative_dates(column):
     assert column(lambda c: D.relative_to_date(c, asof), phrases) == [
         datetime(2024, 3, 27, 12, 0, 1), datetime(2024, 3, 10, 12, 0, 1), datetime(2024, 3, 31, 11, 59, 1),
         datetime(2024, 1, 31, 12, 0, 1), datetime(2022, 3, 31, 12, 0, 1), datetime(2024, 3, 31, 11, 54, 1), None, None]
+    assert column(lambda c: D.relative_to_date(c, asof), ["Applied 2147483647d ago", "999999999w", "99999999999999999999m"]) == [None] * 3
     assert column(lambda c: D.relative_to_date(c, asof, True), ["1mo ago"]) == [datetime(2024, 3, 31, 11, 58, 1)]
