@@ -12,6 +12,16 @@ BOARD_ZONE = "+02:00"
 
 _ZONED = r"(?i):\d{2}(\.\d+)?\s*(z|[+-]\d{2}:?\d{2})$"
 _MAIL_FORMATS = ("d MMM yyyy HH:mm:ss Z", "d MMM yyyy HH:mm:ss", "d MMM yyyy HH:mm Z", "d MMM yyyy")
+# the same dates as people and spreadsheets write them; the shape of a text picks its group
+_NAMED_FORMATS = (
+    "MMM d, yyyy h:mm a", "MMM d, yyyy HH:mm", "MMM d, yyyy", "MMM d yyyy h:mm a", "MMM d yyyy", "d MMM yyyy h:mm a",
+    "d MMM yyyy HH:mm", "d-MMM-yyyy HH:mm:ss", "d-MMM-yyyy HH:mm", "d-MMM-yyyy", "d MMM yy HH:mm:ss Z", "d MMM yy HH:mm:ss", "d MMM yy",
+)
+_YEAR_FORMATS = ("yyyy/MM/dd HH:mm:ss", "yyyy/MM/dd HH:mm", "yyyy/MM/dd", "yyyyMMdd'T'HHmmssX", "yyyyMMdd'T'HHmmss", "yyyyMMdd",
+                 "yyyy-MM-dd h:mm:ss a", "yyyy-MM-dd h:mm a")
+_DAY_FIRST_FORMATS = ("d/M/yyyy HH:mm:ss", "d/M/yyyy HH:mm", "d/M/yyyy h:mm a", "d/M/yyyy", "d/M/yy HH:mm", "d/M/yy")
+# Zone names of mail headers, in hours
+_ZONE_NAMES = {"EST": "-0500", "EDT": "-0400", "CST": "-0600", "CDT": "-0500", "MST": "-0700", "MDT": "-0600", "PST": "-0800", "PDT": "-0700"}
 _US_FORMATS = (
     "M/d/yy, h:mm a", "M/d/yyyy, h:mm a", "M/d/yy h:mm a", "M/d/yyyy h:mm a",
     "M/d/yy HH:mm", "M/d/yyyy HH:mm", "M/d/yyyy HH:mm:ss", "M/d/yy", "M/d/yyyy",
@@ -22,7 +32,10 @@ def _tidy(c: Column) -> Column:
     """Drop weekday names and trailing zone comments; write GMT/UTC as an offset."""
     text = F.trim(F.regexp_replace(c, r"^\s*[A-Za-z]{3,9},\s*|\s*\([^)]*\)\s*$", ""))
     text = F.regexp_replace(text, r"\u202f", " ")
-    return F.regexp_replace(text, r"\s+(GMT|UTC|UT)$", " +0000")
+    text = F.regexp_replace(text, r"\s+(GMT|UTC|UT)$", " +0000")
+    zone = F.create_map(*[F.lit(x) for pair in _ZONE_NAMES.items() for x in pair])
+    named = F.concat(F.substr(text, F.lit(1), F.length(text) - 3), F.try_element_at(zone, F.right(text, F.lit(3))))
+    return F.when(text.rlike(r"\s[ECMP][SD]T$"), named).otherwise(text)
 
 
 def _try_formats(c: Column, formats: tuple[str, ...]) -> list[Column]:
@@ -37,8 +50,12 @@ def parse_mixed(c: Column, naive_zone: str = "UTC") -> Column:
     text = _tidy(c)
     # the cast alone would complete a bare time of day from the clock
     iso = F.when(text.rlike(r"^\d{4}-\d"), text).try_cast("timestamp")
+    in_group = lambda shape, formats: F.when(text.rlike(shape), F.coalesce(*_try_formats(text, formats)))
     parsed = F.coalesce(
-        iso, *_try_formats(text, _MAIL_FORMATS), *_try_formats(text, _US_FORMATS)
+        iso,
+        in_group(r"[A-Za-z]{3}", _MAIL_FORMATS + _NAMED_FORMATS),
+        in_group(r"^\d{1,2}/", _US_FORMATS + _DAY_FIRST_FORMATS),
+        in_group(r"^\d{4}", _YEAR_FORMATS),
     )
     if naive_zone in ("UTC", "+00:00"):
         return parsed

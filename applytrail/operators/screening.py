@@ -328,6 +328,16 @@ def feature_names(long: DataFrame, thresh: int = 2) -> DataFrame:
     )
 
 
+def ordered_features(df: DataFrame, thresh: int = 2) -> list[str]:
+    """Names carried by at least ``thresh`` applications: listed ones in order, then unlisted industries.
+
+    The names are the matrix' columns, so they must reach the driver; industry codes are few.
+    """
+    found = {r["feature"] for r in feature_names(long_features(df.select("features")), thresh).collect()}
+    listed = [f for f in pinned_features() if f in found]
+    return listed + sorted(found.difference(listed))
+
+
 def feature_matrix(df: DataFrame, features: list[str] | None = None) -> DataFrame:
     """One column per feature: years as numbers, the rest as flags, null where absent.
 

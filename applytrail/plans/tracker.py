@@ -10,7 +10,7 @@ from applytrail.operators import funnel as N
 from applytrail.operators import mail as M
 from applytrail.operators import screening as Q
 from applytrail.sources.readers import application_metadata
-from applytrail.sources.scratch import spread
+from applytrail.sources.scratch import cut, spread
 
 
 def mail_table(emails: DataFrame) -> DataFrame:
@@ -43,9 +43,9 @@ def stage_funnel(mail: DataFrame, jobs: DataFrame, asof: Column) -> DataFrame:
 def feature_table(exports: DataFrame, thresh: int = 2) -> DataFrame:
     """Application exports to the wide feature table with sparse features dropped."""
     features = Q.with_features(Q.with_questions(application_metadata(spread(exports))))
-    features = features.select(*Q.METADATA, "features")
-    wide = Q.feature_matrix(features)
-    return Q.fill_flags(Q.drop_sparse(wide, Q.pinned_features(), thresh))
+    features = cut(features.select(*Q.METADATA, "features"), "features")
+    columns = Q.ordered_features(features, thresh)
+    return Q.fill_flags(Q.drop_sparse(Q.feature_matrix(features, columns), columns, thresh))
 
 
 def quick_apply_table(features: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -126,3 +126,11 @@ def test_feature_table_drops_sparse_and_fills(spark):
     wide = tracker.feature_table(exports)
     assert wide.columns == ["Application_Date", "Company_Name", "Job_Title", "Job_Url", "Ask_Python"]
     assert sorted((r.Job_Url, r.Ask_Python) for r in wide.collect()) == [("u1", True), ("u2", True), ("u3", False)]
+
+
+def test_feature_table_keeps_unlisted_industries(spark):
+    exports = spark.createDataFrame(
+        [(f"1/{i}/25, 3:04 PM", "A", "x", f"u{i}", "Which industry? urn:li:industry:977: Yes | Do you know Python?: Yes") for i in (1, 2, 3)],
+        "`Application Date` string, `Company Name` string, `Job Title` string, `Job Url` string, `Question And Answers` string")
+    columns = tracker.feature_table(exports).columns
+    assert "Ask_Python" in columns and any("URN_977" in c for c in columns), columns

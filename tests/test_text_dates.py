@@ -88,6 +88,12 @@ def test_parse_mixed(column):
     utc = column(D.parse_mixed_utc, texts)
     assert utc[:4] == [datetime(2024, 5, 6, 8, 15, 30)] * 2 + [datetime(2024, 5, 6, 15, 4), datetime(2024, 5, 6)]
     assert utc[4:] == [None] * 4
+    written = {
+        "May 6, 2024 10:15 AM": (2024, 5, 6, 10, 15), "May 6 2024": (2024, 5, 6), "6 May 2024 10:15 AM": (2024, 5, 6, 10, 15),
+        "06-May-2024 10:15": (2024, 5, 6, 10, 15), "2024/05/06 10:15": (2024, 5, 6, 10, 15), "20240506T101530Z": (2024, 5, 6, 10, 15, 30),
+        "2024-05-06 3:04:05 PM": (2024, 5, 6, 15, 4, 5), "13/06/2024 10:00": (2024, 6, 13, 10), "6 May 24 10:15:30": (2024, 5, 6, 10, 15, 30),
+        "Mon, 06 May 2024 10:15:30 EST": (2024, 5, 6, 15, 15, 30), "Mon, 06 May 2024 10:15:30 PDT": (2024, 5, 6, 17, 15, 30)}
+    assert column(D.parse_mixed_utc, list(written)) == [datetime(*v) for v in written.values()]
     board = column(lambda c: D.parse_mixed(c, D.BOARD_ZONE), texts[:3])
     assert board == [datetime(2024, 5, 6, 8, 15, 30)] * 2 + [datetime(2024, 5, 6, 13, 4)]
     assert column(D.parse_us_date, ["03/04/2024", "2024-03-04"]) == [datetime(2024, 3, 4), None]
