@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from applytrail.llm.common import whole_text
+from applytrail.llm.common import whole_text, written
 
 DIMENSIONS = 1024
 SYMBOLS = 64             # blank, 47 letters of their own, 16 shared by all other letters
@@ -110,8 +110,8 @@ def training_rows(docs: DataFrame, learn: Column, rows: int = ROWS_PER_LANGUAGE,
                   key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """(lang, t): of each language the ``rows`` texts whose ids have the smallest hashes.
 
-    The choice is the same whatever the layout; ids and languages alone are ranked, the
-    chosen rows' texts follow by a join with a side of at most ``rows * languages`` ids.
+    The choice is the same whatever the layout; ids and languages alone are ranked. The
+    chosen ids, at most ``rows * languages`` of them, are broadcast, so no text is shuffled.
     """
     usable = docs.where(learn & F.col(lang).isNotNull() & F.col(text).isNotNull())
     chosen = usable.groupBy(F.col(lang).alias("lang")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(
@@ -119,8 +119,8 @@ def training_rows(docs: DataFrame, learn: Column, rows: int = ROWS_PER_LANGUAGE,
     ranked = usable.select(F.col(lang).alias("lang"), F.col(key).alias("id")).join(chosen, "lang").withColumn(
         "place", F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")))
     ids = ranked.where(F.col("place") <= rows).select("id").distinct()
-    return usable.select(F.col(key).alias("id"), F.col(lang).alias("lang"), F.col(text).alias("t")).join(ids, "id").join(
-        chosen, "lang").select("lang", "t")
+    return usable.select(F.col(key).alias("id"), F.col(lang).alias("lang"), F.col(text).alias("t")).join(
+        F.broadcast(ids), "id").join(F.broadcast(chosen), "lang").select("lang", "t")
 
 
 def learn_profiles(rows: DataFrame) -> Profiles:
@@ -131,6 +131,7 @@ def learn_profiles(rows: DataFrame) -> Profiles:
             seen, n = np.unique(points[points != 32], return_counts=True)
             yield pd.DataFrame({"point": seen.astype("int64"), "n": n})
 
+    rows = written(rows, "language-rows")
     commonest = rows.select("t").mapInPandas(letters, "point long, n long").groupBy("point").agg(
         F.sum("n").alias("n")).orderBy(F.desc("n"), "point").limit(OWN_LETTERS).collect()
     space = Space([r["point"] for r in commonest])
