@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import pickle
+from collections.abc import Callable
+from typing import TypeVar
 from uuid import uuid4
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import applytrail.session  # noqa: F401  (functions and classes of the package travel by value)
 from applytrail.sources.scratch import shared_folder
 
 # white space that separates words: blank, tab, line feed, vertical tab, form feed, carriage return
@@ -41,6 +46,33 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+Value = TypeVar("Value")
+
+
+def shipped(spark: SparkSession, value: Value) -> Callable[[], Value]:
+    """A broadcast of a value of the package's own classes, which executors need not have installed.
+
+    Called in a task, the result is the task's own copy. Callers bound the value's size.
+    """
+    data = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: pickle.loads(data.value)
+
+
 def fold(c: Column, folds: int) -> Column:
     """crc32 of an id's decimal text, modulo ``folds``; a null id falls in fold 0."""
     return F.coalesce(F.crc32(c.cast("string").cast("binary")) % folds, F.lit(0)).cast("int")
+
+
+def chosen(df: DataFrame, rows: int, key: str = "id") -> DataFrame:
+    """The ``rows`` rows whose keys have the smallest hashes: the same ones whatever the layout.
+
+    The rows are counted first, so that only about twice as many as wanted are sorted and no
+    task passes on more. ``df`` is read twice.
+    """
+    return sampled(df, 2 * rows, key).orderBy(F.xxhash64(key), key).limit(rows)
+
+
+def sampled(df: DataFrame, rows: int, key: str) -> DataFrame:
+    """About ``rows`` rows, those whose keys' hashes lie under a bound: a count, a filter, no shuffle."""
+    place = F.xxhash64(key) / F.lit(2.0 ** 64) + 0.5
+    return df.where(place <= min(1.0, rows / max(df.count(), 1)))

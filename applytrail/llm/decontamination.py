@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from applytrail.llm.common import whole_text
+from applytrail.llm.common import shipped, whole_text
 
 WIDTH = 5                # words in a shingle
 THRESHOLD = 0.8          # share of an item's distinct shingles that makes it contained
@@ -143,10 +143,10 @@ def contained(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str
     rows = docs.select(F.col(key).alias("id"), whole_text(text).alias("t"))
     found = None
     for block in item_blocks(items, item_key, item_text, block_chars):
-        shipped = spark.sparkContext.broadcast(Items.of(block, width, threshold))
+        block_items = shipped(spark, Items.of(block, width, threshold))
 
-        def search(batches: Iterator[pd.DataFrame], shipped=shipped) -> Iterator[pd.DataFrame]:
-            ready = shipped.value.ready()
+        def search(batches: Iterator[pd.DataFrame], block_items=block_items) -> Iterator[pd.DataFrame]:
+            ready = block_items().ready()
             for batch in batches:
                 hits = [(i, *hit) for i, t in zip(batch["id"], batch["t"], strict=True)
                         for hit in ready.contained_in(t, threshold)]
@@ -162,15 +162,15 @@ def contains_any(docs: DataFrame, items: DataFrame, text: str = "text", item_key
     """Whether a row's text contains an item; false for null texts and without items."""
     found = F.lit(False)
     for block in item_blocks(items, item_key, item_text, block_chars):
-        shipped = docs.sparkSession.sparkContext.broadcast(Items.of(block, width, threshold))
-        found = found | _holds_item(shipped, threshold)(whole_text(text))
+        block_items = shipped(docs.sparkSession, Items.of(block, width, threshold))
+        found = found | _holds_item(block_items, threshold)(whole_text(text))
     return found
 
 
-def _holds_item(shipped, threshold: float):
+def _holds_item(block_items, threshold: float):
     @F.pandas_udf(T.BooleanType())
     def search(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        ready = shipped.value.ready()
+        ready = block_items().ready()
         for texts in batches:
             yield pd.Series([bool(ready.contained_in(t, threshold)) for t in texts], dtype=bool)
     return search

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from applytrail.llm.common import whole_text, written
+from applytrail.llm.common import shipped, whole_text, written
 
 DIMENSIONS = 1024
 SYMBOLS = 64             # blank, 47 letters of their own, 16 shared by all other letters
@@ -163,12 +163,12 @@ def identify(docs: DataFrame, profiles: Profiles, key: str = "doc_id", text: str
     A null text, or one without a letter, is ``und`` with score 0; so is every text if no
     language was learned. Ids may be null or repeat. Ties go to the first language by name.
     """
-    shipped = docs.sparkSession.sparkContext.broadcast(profiles)
+    told = shipped(docs.sparkSession, profiles)
     kind = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
     @F.pandas_udf(kind)
     def predicted(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        known = shipped.value
+        known = told()
         known.space.ready()
         for texts in batches:
             yield pd.DataFrame(known.predict(texts.tolist()), columns=["lang_pred", "score"])

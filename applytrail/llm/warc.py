@@ -27,7 +27,7 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from applytrail.llm.common import written
+from applytrail.llm.common import shipped, written
 from applytrail.sources.scratch import shared_folder
 
 BLOCK_LINES = 1000       # index lines in a compressed block
@@ -241,11 +241,11 @@ def lookup(wanted: DataFrame, where: Archive, key: str = "page_id", url: str = "
     spark = wanted.sparkSession
     kind = dict(wanted.dtypes)[key]
     keys = wanted.select(capture_key(F.col(url), F.col(key)).alias("key")).distinct()
-    shipped = spark.sparkContext.broadcast(where)
+    told = shipped(spark, where)
     fields = ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", *["payload"] * payload]
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        found = Lookup(shipped.value)
+        found = Lookup(told())
         for batch in batches:
             keys = batch["key"].tolist()
             for at in range(0, len(keys), 100):
