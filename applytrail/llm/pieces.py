@@ -107,13 +107,14 @@ class Codec:
         if self.ids:
             self.automaton.make_automaton()
         self.floor = min((s for s, k in zip(model.scores, model.kinds, strict=True) if k == NORMAL), default=0.0) - 10.0
-        self.holds: dict[tuple[int, int], bool] = {}
+        self.holds: dict[int, bool] = {}
         self.cache: dict[str, bytes] = {}
-        # no piece has a blank after another character: texts can be cut before every run of blanks
-        inner = any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.ids)
-        lines = any("\n" in p for p in self.ids)
-        self.cut = None if inner or any(k == USER for k in model.kinds) else re.compile(
-            f"{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+|\n+" if not lines else f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
+        # where no piece has a blank after another character, nor an ASCII mark or digit after a
+        # Latin letter, a text can be cut there: the stretches are encoded by themselves
+        mark, latin = r"\x00-@\[-`{-\x7f", "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+        crossing = re.compile(f"[^{SPACE}]{SPACE}|[{latin}][{mark}]")
+        self.cut = None if any(k == USER for k in model.kinds) or any(crossing.search(p) for p in self.ids) else re.compile(
+            f"{SPACE}*+(?:[^{latin}{SPACE}]++|[{latin}]++(?=[^{mark}{SPACE}]))*+[{latin}]*")
         self.plain = [p.replace(SPACE, " ").encode() if k in usable else b"" for p, k in zip(model.pieces, model.kinds, strict=True)]
         for octet, i in self.octets.items():
             self.plain[i] = bytes([octet])
@@ -140,38 +141,38 @@ class Codec:
 
     def _holds(self, last: int, piece: int) -> bool:
         """Merging the two pieces' characters together leaves exactly these two; -1 is no piece at all."""
-        known = self.holds.get((last, piece))
-        if known is None:
-            parts = [self.model.pieces[piece]] if last < 0 else [self.model.pieces[last], self.model.pieces[piece]]
-            known = self._merged("".join(parts)) == parts
-            if len(self.holds) > 1_000_000:
-                self.holds.clear()
-            self.holds[last, piece] = known
+        parts = [self.model.pieces[piece]] if last < 0 else [self.model.pieces[last], self.model.pieces[piece]]
+        known = self._merged("".join(parts)) == parts
+        if len(self.holds) > 1_000_000:
+            self.holds.clear()
+        self.holds[last << 32 | piece] = known
         return known
 
     def segment(self, text: str) -> list[int]:
         """Ids of a normalised stretch, by one pass of the automaton."""
         n = len(text)
-        last = [-1] * (n + 1)     # the piece that ends at a position, -1 where a character has none
+        last = [-1] * (n + 1)       # the piece that ends at a position, -1 where a character has none
         start = list(range(-1, n))  # and where it starts
-        ending: list[list[tuple[int, int]]] = [[] for _ in range(n + 1)]
-        for end, found in self.automaton.iter(text) if self.ids else ():
-            ending[end + 1].append(found)
         if self.model.model == BPE:
-            for at in range(1, n + 1):
-                # longest first; a stretch begins afresh behind a character without a piece
-                for size, piece in sorted(ending[at], reverse=True):
-                    before = last[at - size]
-                    if self._holds(before, piece) if before >= 0 else self._holds(-1, piece):
-                        last[at], start[at] = piece, at - size
-                        break
+            # the automaton gives the pieces that end at a position longest first; a stretch
+            # begins afresh behind a character without a piece
+            holds = self.holds
+            for end, (size, piece) in self.automaton.iter(text) if self.ids else ():
+                if last[end + 1] < 0:
+                    before = last[end + 1 - size]
+                    known = holds.get(before << 32 | piece)
+                    if self._holds(before, piece) if known is None else known:
+                        last[end + 1], start[end + 1] = piece, end + 1 - size
         else:
+            ending: list[list[tuple[int, int]]] = [[] for _ in range(n + 1)]
+            for end, found in self.automaton.iter(text) if self.ids else ():
+                ending[end + 1].append(found)
             best = [0.0] + [0.0] * n
             scores, kinds = self.model.scores, self.model.kinds
             top = max(scores, default=0.0)
             for at in range(1, n + 1):
                 value, single = -np.inf, False
-                for size, piece in sorted(ending[at], reverse=True):
+                for size, piece in ending[at]:
                     single |= size == 1
                     own = size * top - 0.1 if kinds[piece] == USER else scores[piece]
                     if best[at - size] + own > value:
