@@ -172,7 +172,7 @@ def test_unigram_pieces_have_the_best_sum():
         best = library.nbest_encode_as_ids(text, 1)[0]
         if not any(library.is_byte(i) for i in ids + best):
             total = lambda x: sum(map(library.get_score, x))
-            assert total(ids) == pytest.approx(total(best))
+            assert total(ids) >= total(best)  # the library adds in single precision
         assert codec.decode(ids) == text.replace("▁", " ")
 
 
