@@ -54,6 +54,8 @@ def test_message_text(column):
     ("<div><a>swallows the rest</div>after", "after"),
     ("one<br>two<img src=x>three</p>four", "one\ntwo\nthree\nfour"),
     ("<p>  </p>\n\n\n<p>x</p>", "x"),
+    ("a<template>t<p>u</p></template>b", "a\nb"),
+    ("<ruby>A<rp>(</rp><rt>x</rt><rp>)</rp></ruby>", "A"),
     ("", ""),
 ])
 def test_html_to_text(column, html, text):
