@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from applytrail.llm.common import whole_text
+from applytrail.llm.common import chosen, shipped, whole_text, written
 
 ASSIGN = re.compile(r"""(?ai:(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+))""")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -190,7 +190,7 @@ def training_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", row
     hit = t.rlike(r"AKIA[A-Z0-9]{16}|[0-9a-f]{24}") | t.rlike(
         r"""(?i)(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]{6}""")
     found = docs.select(F.col(key).alias("id"), whole_text(text).alias("t")).where(hit)
-    return [r["t"] for r in found.orderBy(F.xxhash64("id"), "id", "t").limit(rows).collect()]
+    return sorted(r["t"] for r in chosen(written(found, "secret-texts"), rows).collect())
 
 
 def learn_formats(texts: list[str], examples: int = EXAMPLES) -> Formats:
@@ -215,11 +215,11 @@ SPANS = T.ArrayType(T.StructType([
 
 
 def _with_spans(docs: DataFrame, formats: Formats, result: T.DataType, of) -> Column:
-    shipped = docs.sparkSession.sparkContext.broadcast(formats)
+    told = shipped(docs.sparkSession, formats)
 
     @F.pandas_udf(result)
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        known = shipped.value
+        known = told()
         for texts in batches:
             yield pd.Series([of(known, t) for t in texts])
     return run
