@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from applytrail.llm.common import written
+from applytrail.llm.common import chosen, written
 from applytrail.llm.quality_rules import measures
 
 TRAINING_ROWS = 6000  # labelled rows the classifier is fitted on, those of the smallest id hashes
@@ -96,8 +96,8 @@ def score(docs: DataFrame, labels: DataFrame, learn: Column, key: str = "doc_id"
     """
     as_column = lambda c: F.col(c) if isinstance(c, str) else c
     rows = written(ratios(docs, key, as_column(host), as_column(path), text), "quality-ratios")
-    known = labels.where(F.col(label).isNotNull() & learn).groupBy(F.col(key).alias("id")).agg(
-        F.max(label).alias("y")).orderBy(F.xxhash64("id"), "id").limit(TRAINING_ROWS)
+    known = chosen(labels.where(F.col(label).isNotNull() & learn).groupBy(F.col(key).alias("id")).agg(
+        F.max(label).alias("y")), TRAINING_ROWS)
     sample = rows.join(F.broadcast(known), "id").select(*FEATURES, "y").orderBy(*FEATURES, "y").collect()
     x = np.array([[r[f] for f in FEATURES] for r in sample], dtype=np.float64).reshape(-1, len(FEATURES))
     model = fit(x, np.array([float(r["y"]) for r in sample]))
