@@ -8,6 +8,7 @@ remembered. Nothing is shuffled.
 
 from __future__ import annotations
 
+import os
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -18,12 +19,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from applytrail.llm.common import whole_text
+from applytrail.llm.common import sampled, whole_text
 
 LIMIT = 2048            # tokens above which a text is marked
-SAMPLE_ROWS = 4000      # rows read to choose the frequent runs; affects speed alone
+SAMPLE_ROWS = 4000      # rows, about, that choose the frequent runs; affects speed alone
 TABLE_SIZE = 50_000     # entries of the broadcast table
 LONGEST = 32            # code points of a run kept in the table or the cache
+ENCODED_AT_ONCE = 500
 CACHE_SIZE = 200_000    # entries of a task's cache; a full cache starts anew
 
 # the library's white space, and the characters only Python's split() takes for white space
@@ -38,7 +40,10 @@ def runs(text: str) -> list[str]:
 
 
 def _lengths(tokenizer: Tokenizer, chunks: list[str]) -> list[int]:
-    return [len(e.ids) for e in tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+    # a task has one core; encodings are large, so only a few are held at a time
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    return [len(e.ids) for at in range(0, len(chunks), ENCODED_AT_ONCE)
+            for e in tokenizer.encode_batch_fast(chunks[at:at + ENCODED_AT_ONCE], add_special_tokens=False)]
 
 
 def _load(path: str) -> Tokenizer:
@@ -77,9 +82,12 @@ class Counts:
         return out
 
 
-def frequent_runs(docs: DataFrame, path: str, text: str = "text", sample_rows: int = SAMPLE_ROWS,
+def frequent_runs(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", sample_rows: int = SAMPLE_ROWS,
                   size: int = TABLE_SIZE) -> dict[str, int]:
-    """The commonest runs of a bounded sample with their lengths: at most ``size`` of 32 code points."""
+    """The commonest runs of a sample with their lengths: at most ``size``, of at most ``LONGEST`` code points.
+
+    The sampled texts are counted where they lie; only runs and their counts are grouped.
+    """
     def commonest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: Counter[str] = Counter()
         for batch in batches:
@@ -89,7 +97,7 @@ def frequent_runs(docs: DataFrame, path: str, text: str = "text", sample_rows: i
                 seen = Counter(dict(seen.most_common(2 * size)))
         yield pd.DataFrame(seen.most_common(size), columns=["run", "n"])
 
-    sample = docs.select(whole_text(text).alias("t")).limit(sample_rows)
+    sample = sampled(docs, sample_rows, key).select(whole_text(text).alias("t"))
     rows = sample.mapInPandas(commonest, "run string, n long").groupBy("run").agg(F.sum("n").alias("n")).orderBy(
         F.desc("n"), "run").limit(size).collect()
     chosen = [r["run"] for r in rows]
@@ -102,7 +110,7 @@ def token_counts(docs: DataFrame, path: str, key: str = "doc_id", text: str = "t
     Null and empty texts have no tokens; ids may be null or repeat. ``path`` is a vocabulary
     file of the ``tokenizers`` library whose pre-tokenizer breaks at white space.
     """
-    table = docs.sparkSession.sparkContext.broadcast(frequent_runs(docs, path, text))
+    table = docs.sparkSession.sparkContext.broadcast(frequent_runs(docs, path, key, text))
     with open(path, encoding="utf-8") as f:
         vocabulary = docs.sparkSession.sparkContext.broadcast(f.read())
 
