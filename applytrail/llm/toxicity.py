@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from applytrail.llm.common import whole_text, written
+from applytrail.llm.common import chosen, shipped, whole_text, written
 
 TRAINING_ROWS = 6000   # labelled rows a model is fitted on, those of the smallest id hashes
 WITNESSES = 400        # toxic words kept
@@ -37,6 +37,7 @@ THRESHOLD = 0.3        # score from which a text counts as toxic
 
 _SIZE = 32
 _EDGE = 31
+_CHUNK = 4000  # words scored at a time
 _PAIRS = [(j, k) for k in range(2, SPAN) for j in range(1, k)]
 _NOISE = re.compile(r"[^\w\s]|[\d_]")
 _SPACED = re.compile(r"(?<!\S)(?:\S\s+){2,}\S(?!\S)")
@@ -118,8 +119,8 @@ class Machine:
         parts = [windows(w) for w in words]
         flat = [p for ps in parts for p in ps]
         values = np.full(len(flat), self.bias)
-        for start in range(0, len(flat), 20_000):
-            codes, weights = _subsequences(flat[start:start + 20_000])
+        for start in range(0, len(flat), _CHUNK):
+            codes, weights = _subsequences(flat[start:start + _CHUNK])
             dots = np.einsum("ij,ij->i", self.weight[codes], weights)
             some = np.flatnonzero(dots > 0)
             if len(some):
@@ -163,8 +164,8 @@ def _fit(toxic: list[tuple[str, float]], clean: list[tuple[str, float]]) -> Mach
     good = values > 1e-4
     root = vectors[:, good] / np.sqrt(values[good])  # Nyström map: kernel values with the landmarks times this
     examples = toxic + clean
-    mapped = np.concatenate([features([w for w, _ in examples[i:i + 1000]]) @ marks.T
-                             for i in range(0, len(examples), 1000)]) @ root
+    mapped = np.concatenate([features([w for w, _ in examples[i:i + 250]]) @ marks.T
+                             for i in range(0, len(examples), 250)]) @ root
     x = np.concatenate([mapped, np.ones((len(mapped), 1))], axis=1)
     y = np.repeat([1.0, -1.0], [len(toxic), len(clean)])
     share = np.array([n for _, n in examples])
@@ -186,11 +187,14 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> np.ndarray:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, learn: Column, rows: int = TRAINING_ROWS) -> DataFrame:
-    """(id, t, label) of the ``rows`` labelled texts whose ids have the smallest hashes."""
+    """(id, t, label) of the ``rows`` labelled texts whose ids have the smallest hashes.
+
+    Those ids, ``rows`` at most, are broadcast: no text is shuffled.
+    """
     known = labels.where(F.col("toxic").isNotNull()).groupBy(F.col("doc_id").alias("id")).agg(
         F.max("toxic").alias("label"))
-    ids = known.withColumn("doc_id", F.col("id")).where(learn).orderBy(F.xxhash64("id"), "id").limit(rows).select("id", "label")
-    return docs.select(F.col("doc_id").alias("id"), whole_text().alias("t")).join(ids, "id")
+    ids = chosen(known.withColumn("doc_id", F.col("id")).where(learn), rows).select("id", "label")
+    return docs.select(F.col("doc_id").alias("id"), whole_text().alias("t")).join(F.broadcast(ids), "id")
 
 
 def train(rows: DataFrame) -> Machine | None:
@@ -245,11 +249,11 @@ def scorer(machine: Machine):
 
 def summarised(spark, machine: Machine):
     """A column function from texts to their summaries."""
-    shipped = spark.sparkContext.broadcast(machine)
+    told = shipped(spark, machine)
 
     @F.pandas_udf("array<double>")
     def summary(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        known = shipped.value
+        known = told()
         cache: dict[str, float] = {}
         for texts in batches:
             split = [strings(t) for t in texts]
