@@ -106,9 +106,14 @@ def to_application(df: DataFrame, record_type: str, asof: Column) -> DataFrame:
 
 
 def inherit_board_fields(docs: DataFrame, masters: DataFrame) -> DataFrame:
-    """Fill missing ``linkedin_*`` columns of records from their job's master record."""
+    """Fill missing ``linkedin_*`` columns of records from their job's master record.
+
+    Of several masters of a job, that of the smallest ``job_ref`` (without one, of the smallest
+    fields) counts, so every record stays one row.
+    """
     fields = [c for c in masters.columns if c.startswith("linkedin_")]
-    named = masters.select("job_id", *[F.col(c).alias(f"_m_{c}") for c in fields])
+    order = ["job_ref"] if "job_ref" in masters.columns else fields
+    named = pick_one(masters, ["job_id"], [F.col(c).asc_nulls_last() for c in order]).select("job_id", *[F.col(c).alias(f"_m_{c}") for c in fields])
     joined = docs.join(named, "job_id", "left")
     filled = [
         F.coalesce(F.col(c), F.col(f"_m_{c}")).alias(c) if c in docs.columns else F.col(f"_m_{c}").alias(c)

@@ -157,6 +157,18 @@ def _(spark, sf_dir):
     return V.inherit_board_fields(docs, single.select("job_id", "linkedin_job_url"))
 
 
+# every board row, those of a job exported more than once too: its master is the row of the smallest job_ref
+@query("inherit_board_fields_all", f"""WITH {BOARD} SELECT o_orderkey AS n, job_id,
+    first_value(job_url) OVER (PARTITION BY job_id ORDER BY job_hash || '|' || job_url) AS linkedin_job_url
+  FROM board JOIN orders ON job_ref = 'job_' || lpad(CAST(o_orderkey AS VARCHAR), 12, '0')""")
+def _(spark, sf_dir):
+    board = V.board_jobs(table(spark, sf_dir, "match_jobs").drop("job_ref"))
+    docs = board.select(
+        F.substring_index("linkedin_job_url", "/", -1).cast("long").alias("n"), "job_id",
+        F.lit(None).cast("string").alias("linkedin_job_url"))
+    return V.inherit_board_fields(docs, board.select("job_id", "job_ref", "linkedin_job_url"))
+
+
 @query("orphan_leaders", f"""WITH {NAMED}, dated AS (SELECT *, CASE WHEN nc = '' OR nt = '' THEN strftime("date", '%Y%m%d') ELSE '' END AS day FROM m),
   first AS (SELECT nc, nt, day, arg_min(company, ("date", filename)) AS company,
     arg_min(role, ("date", filename)) AS role, min("date") AS d FROM dated GROUP BY nc, nt, day)

@@ -36,3 +36,14 @@ def test_repeated_file_names_and_blank_names(spark):
     assert got["from globex"]["job_id"] == got["more globex"]["job_id"]
     assert got["first blank"]["job_id"] != got["second blank"]["job_id"] == got["same day"]["job_id"]
     assert got["acme early"]["job_id"] != got["acme late"]["job_id"]
+
+
+def test_records_of_a_repeated_job_inherit_once(spark):
+    docs = spark.createDataFrame([(n, "hot", None) for n in range(50)] + [(50, "one", "own"), (51, "none", None), (52, None, None)],
+                                 "n long, job_id string, linkedin_job_url string")
+    masters = spark.createDataFrame([("hot", f"r{n:02}", f"u{n}") for n in range(49, -1, -1)] + [("one", "r", "u"), (None, "a", "lost")],
+                                    "job_id string, job_ref string, linkedin_job_url string")
+    want = [(n, "u0") for n in range(50)] + [(50, "own"), (51, None), (52, None)]
+    for m in (masters, masters.drop("job_ref")):
+        got = V.inherit_board_fields(docs, m).orderBy("n").collect()
+        assert [(r["n"], r["linkedin_job_url"]) for r in got] == want
