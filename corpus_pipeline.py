@@ -6,9 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from applytrail.llm import decontamination, pieces, quality_rules, secrets
+from applytrail.llm import decontamination, pieces, quality_rules, secrets, simhash
 from applytrail.llm.common import prepare, table, whole_text, written
-from applytrail.llm.near_copies import near_copies
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 MODEL = "piece_bpe_32k.model"
@@ -18,29 +17,43 @@ ORACLE_SQL = None
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that no quality rule rejects."""
+    """Documents that no quality rule rejects.
+
+    Null and empty texts have too few words and go; repeated rows and ties share one verdict;
+    null ids, languages and sources pass unread; an empty table gives an empty one.
+    """
     prepare(spark)
     return quality_rules.judge(docs, keep=COLUMNS).where("kept").select(*COLUMNS)
 
 
 def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each group of near-duplicates.
+    """One document, that of the smallest id, of each group that SimHash links (3 words, 2 bits).
 
-    Rows that share an id are one document and stay together; rows without an id stay.
+    Null and empty texts are copies of one another. Rows that share an id are one document and
+    stay together, unless another of its texts links it to a smaller id; rows without an id
+    stay. An empty table gives an empty one.
     """
     prepare(spark)
-    dropped = near_copies(docs).where("id <> component").select(F.col("id").alias("doc_id")).distinct()
+    linked = simhash.near_duplicates(docs)
+    dropped = linked.where("id <> component").select(F.col("id").alias("doc_id")).distinct()
     return docs.select(*COLUMNS).join(dropped, "doc_id", "left_anti").select(*COLUMNS)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain no benchmark item."""
+    """Documents that contain no benchmark item.
+
+    Null and empty texts contain none and stay, null ids too; repeated rows share one verdict;
+    without items, or of an empty table, all rows stay.
+    """
     prepare(spark)
     return docs.where(~decontamination.contains_any(docs, table(spark, sf_dir, "benchmark"))).select(*COLUMNS)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, secrets masked; ``n_chars`` follows a changed text."""
+    """Every document, secrets masked; ``n_chars`` follows a changed text.
+
+    Null and empty texts, null ids and repeated rows pass as they are; an empty table gives an empty one.
+    """
     prepare(spark)
     formats = secrets.learn_formats(secrets.training_texts(docs))
     masked = docs.select("doc_id", F.col("text").alias("before"), secrets.redacted(docs, formats).alias("text"), "lang",
@@ -51,7 +64,10 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Piece ids of every document, and whether they decode to its text."""
+    """Piece ids of every document, and whether they decode to its text.
+
+    Null and empty texts have no pieces; repeated rows repeat; an empty table gives an empty one.
+    """
     prepare(spark)
     path = public_tokenizers.path(MODEL)
     rows = docs.select("doc_id", "lang", "source", whole_text().alias("t"), pieces.ids_of(docs, path).alias("ids"))
