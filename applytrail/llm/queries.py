@@ -9,7 +9,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from applytrail.llm import decontamination, language_id, pieces, quality_model, quality_rules, secrets, simhash, token_counts, toxicity, warc
+from applytrail.llm import (
+    decontamination,
+    language_id,
+    line_dedup,
+    pieces,
+    quality_model,
+    quality_rules,
+    secrets,
+    simhash,
+    token_counts,
+    toxicity,
+    warc,
+)
 from applytrail.llm.common import fold, prepare, table, whole_text
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -175,6 +187,28 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "path_mean", "score", "predicted")
 
 
+_LINES_SQL = r"""
+WITH lines AS (
+  SELECT doc_id, i, parts[i] AS line, translate(trim(parts[i], chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM (SELECT doc_id, parts, unnest(range(1, len(parts) + 1)) AS i
+        FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents))),
+common AS (
+  SELECT key, max(doc_id) AS last FROM lines WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+judged AS (
+  SELECT doc_id, i, line, coalesce(last > doc_id, false) AS lost FROM lines LEFT JOIN common USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (lost) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT lost), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
+
+
+@query("op11_line_dedup", _LINES_SQL)
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES["pipeline"] = lambda spark, sf_dir: corpus_pipeline.run(prepare(spark), sf_dir)
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
