@@ -13,6 +13,7 @@ from applytrail.llm import (
     decontamination,
     language_id,
     line_dedup,
+    phrases,
     pieces,
     quality_model,
     quality_rules,
@@ -209,6 +210,42 @@ def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+_PHRASES_SQL = r"""
+WITH pieces AS (
+  SELECT lang, [y FOR y IN regexp_split_to_array(piece, '[\x20\x09]+') IF y <> ''] AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+          '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM pieces GROUP BY lang),
+counts AS (
+  SELECT lang, m, phrase, count(*) AS a
+  FROM (SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase
+        FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i
+              FROM pieces, (SELECT unnest([1, 2, 3, 4]) AS m) WHERE len(w) >= m))
+  GROUP BY lang, m, phrase HAVING count(*) >= 30),
+candidates AS (SELECT lang, m, phrase, a, string_split(phrase, ' ') AS w FROM counts WHERE m > 1),
+cuts AS (
+  SELECT c.lang, c.phrase, c.a, k, f.a AS l, g.a AS r, ((2000000::HUGEINT * c.a) // (f.a + g.a))::BIGINT AS score
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM candidates) c
+  JOIN counts f ON f.lang = c.lang AND f.phrase = array_to_string(c.w[1:k], ' ')
+  JOIN counts g ON g.lang = c.lang AND g.phrase = array_to_string(c.w[k + 1:c.m], ' ')),
+worst AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_phrases AS (
+  SELECT lang, array_to_string(w[i:i + s - 1], ' ') AS phrase, max(a) AS longer
+  FROM (SELECT lang, w, a, s, unnest(range(1, m - s + 2)) AS i FROM candidates, (SELECT unnest([2, 3]) AS s) WHERE s < m)
+  GROUP BY ALL)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM worst JOIN totals USING (lang) LEFT JOIN inner_phrases USING (lang, phrase)
+WHERE longer IS NULL OR 100 * longer < 80 * a
+QUALIFY rank <= 2000
+"""
+
+
+@query("op12_phrase_collocations", _PHRASES_SQL)
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES["pipeline"] = lambda spark, sf_dir: corpus_pipeline.run(prepare(spark), sf_dir)
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -3,12 +3,14 @@
 import collections
 import hashlib
 import random
+import re
 
+import numpy as np
 import pytest
 
-from applytrail.llm import line_dedup
-from applytrail.llm.queries import QUERIES
+from applytrail.llm import line_dedup, phrases
 from applytrail.llm.common import table
+from applytrail.llm.queries import QUERIES
 
 SMALL = "/root/testdata/sf0.001"
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -81,3 +83,71 @@ def test_runs_are_levelled_and_met_without_a_shuffle(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "Exchange" not in plan and "Sort " not in plan
     runs.close()
+
+
+# --- phrases
+
+def mined(rows, support, top):
+    f, total = collections.Counter(), collections.Counter()
+    for _, t, lang in rows:
+        lang = lang or "und"
+        for piece in re.split("[.,;:!?\n-\r]", (t or "").translate(LOWER)):
+            w = re.findall("[^ \t]+", piece)
+            total[lang] += len(w)
+            for m in range(1, 5):
+                f.update((lang, tuple(w[i:i + m])) for i in range(len(w) - m + 1))
+    f = {k: a for k, a in f.items() if a >= support}
+    rows = collections.defaultdict(list)
+    for (lang, p), a in f.items():
+        if len(p) == 1:
+            continue
+        score, k = min((2_000_000 * a // (f[lang, p[:k]] + f[lang, p[k:]]), k) for k in range(1, len(p)))
+        if any(len(q) > len(p) and other == lang and 100 * b >= 80 * a and any(q[i:i + len(p)] == p for i in range(len(q)))
+               for (other, q), b in f.items()):
+            continue
+        rows[lang].append((-score, -a, " ".join(p).encode(), f[lang, p[:k]], f[lang, p[k:]]))
+    return sorted((lang, rank + 1, p.decode(), -a, left, right, total[lang], -score) for lang, found in rows.items()
+                  for rank, (score, a, p, left, right) in enumerate(sorted(found)[:top]))
+
+
+def prose(n):
+    random.seed(5)
+    words = ["the", "of", "a", "in", "é", "ß", "x", "very", "New", "york", " ", "日本"]
+    rows = []
+    for i in range(n):
+        picked = random.choices(words, weights=range(12, 0, -1), k=random.randint(0, 60))
+        rows.append((i, "".join(w + random.choice([" ", " ", "\t", "  ", ". ", "\n", ",", "; "]) for w in picked), random.choice(["en", "de", None, "und"])))
+    return rows + [(None, None, "en"), (500, "", "fr"), (501, " \t", "fr"), (3, rows[3][1], rows[3][2]), (502, "the very last " * 3000, "en"), (503, "one " + "z" * 5000, "en")]
+
+
+@pytest.mark.parametrize("bits", [64, 9])
+def test_phrases_against_brute_force(spark, bits):
+    """With fingerprints of 9 bits nearly all collide and are counted by their words."""
+    rows = prose(150)
+    got = phrases.collocations(frame(spark, rows), top=40, support=8, bits=bits).collect()
+    assert sorted(map(tuple, got)) == mined(rows, 8, 40)
+
+
+def test_phrases_of_empty_tables(spark):
+    assert phrases.collocations(frame(spark, prose(9)).limit(0)).count() == 0
+    assert phrases.collocations(frame(spark, [(1, None, None), (2, "", "en")])).count() == 0
+
+
+def test_fingerprints_do_not_follow_slices(monkeypatch):
+    text = " ".join(f"w{k % 17}é. b" for k in range(4000)).encode()
+    whole = phrases.Fingerprints().words_of(text)
+    monkeypatch.setattr(phrases, "SLICE", 100)
+    cut = phrases.Fingerprints().words_of(text)
+    assert (whole.start == cut.start).all() and (whole.end == cut.end).all() and (np.diff(whole.piece) == np.diff(cut.piece)).all()
+    assert [text[a:b] for a, b in zip(whole.start, whole.end)] == [w for w in re.split(rb"[. ]", text) if w]
+    # equal words have equal values in every slice, other words others
+    for values in (*whole.value, *cut.value):
+        assert len(set(values.tolist())) == len({text[a:b] for a, b in zip(whole.start, whole.end)}) == 18
+    assert set(whole.value[0].tolist()) == set(cut.value[0].tolist())
+
+
+def test_filter_lets_every_member_pass(spark):
+    keys = [random.getrandbits(63) for _ in range(500)]
+    made = phrases.filter_of(spark.createDataFrame([(k,) for k in keys], "key long"))
+    assert made.has(np.array(keys, dtype=np.uint64)).all()
+    assert made.has(np.array([random.getrandbits(64) for _ in range(2000)], dtype=np.uint64)).mean() < 0.1
