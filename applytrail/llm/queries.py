@@ -19,6 +19,7 @@ from applytrail.llm import (
     quality_rules,
     secrets,
     simhash,
+    spellings,
     token_counts,
     toxicity,
     warc,
@@ -246,6 +247,11 @@ def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"))
 
 
+@query("op13_spelling_variants")
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spellings.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES["pipeline"] = lambda spark, sf_dir: corpus_pipeline.run(prepare(spark), sf_dir)
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -4,11 +4,12 @@ import collections
 import hashlib
 import random
 import re
+import zlib
 
 import numpy as np
 import pytest
 
-from applytrail.llm import line_dedup, phrases
+from applytrail.llm import line_dedup, phrases, spellings
 from applytrail.llm.common import table
 from applytrail.llm.queries import QUERIES
 
@@ -151,3 +152,69 @@ def test_filter_lets_every_member_pass(spark):
     made = phrases.filter_of(spark.createDataFrame([(k,) for k in keys], "key long"))
     assert made.has(np.array(keys, dtype=np.uint64)).all()
     assert made.has(np.array([random.getrandbits(64) for _ in range(2000)], dtype=np.uint64)).mean() < 0.1
+
+
+# --- spelling variants
+
+def edits(word, letters):
+    """Every text one edit away from a word."""
+    cuts = [(word[:k], word[k:]) for k in range(len(word) + 1)]
+    return ({a + b[1:] for a, b in cuts if b} | {a + c + b[1:] for a, b in cuts if b for c in letters}
+            | {a + c + b for a, b in cuts for c in letters}) - {word}
+
+
+def spelled(rows, least=6, min_count=5):
+    count = collections.Counter()
+    for i, t, *_ in rows:
+        for run in re.findall("[A-Za-z\u00c0-\u00ff]+", t or ""):
+            run = run.translate(LOWER)
+            h = zlib.crc32(f"{'' if i is None else i}:{run}".encode())
+            if h % 199 == 0:
+                run = run[:h % len(run)] + run[h % len(run) + 1:]
+            count[run] += 1
+    count = {w: n for w, n in count.items() if len(w) >= least and n >= min_count}
+    letters = set("".join(count))
+    out, form = [], {}
+    for w, n in count.items():
+        near = sorted((-count[v], v) for v in edits(w, letters) & count.keys())
+        if near and -near[0][0] >= 5 * n:
+            form[w] = near[0][1]
+        out.append([w, form.get(w), w, n, len(near), -near[0][0] if w in form else None])
+    for row in out:
+        while row[2] in form:
+            row[2] = form[row[2]]
+    return sorted(map(tuple, out))
+
+
+@pytest.mark.parametrize("tile", [1000, 7])
+def test_spellings_against_brute_force(spark, monkeypatch, tile):
+    monkeypatch.setattr(spellings, "TILE", tile)
+    random.seed(6)
+    words = ["Strasse", "straße", "résumé", "colour", "color\u00d7s", "letters", "elephant", "elephants", "z" * 4000]
+    for w in list(words):
+        for _ in range(12):
+            w = random.choice(sorted(edits(w, "aez\u00e9\u00ff"))[:400])
+            words.append(w)
+    random.shuffle(words)
+    rows = [(i, random.choice([" ", "-", "3", "\n", "\u0101"]).join(random.choices(words, weights=[1 / (k + 1) for k in range(len(words))], k=150))) for i in range(120)]
+    rows += [(None, None), (200, ""), (None, "elephant " * 60), (201, "abcdef abcdeg abcdefg " * 5), (7, rows[7][1])]
+    got = spellings.variants(frame(spark, [(*r, "en") for r in rows])).collect()
+    want = spelled(rows)
+    assert sorted(map(tuple, got)) == want
+    assert sum(r[1] is not None for r in want) > 20 and any(r[2] not in (r[0], r[1]) for r in want)
+
+
+def test_spelling_query_against_brute_force(spark):
+    rows = [tuple(r) for r in table(spark, SMALL, "documents").select("doc_id", "text").collect()]
+    assert sorted(map(tuple, QUERIES["op13_spelling_variants"](spark, SMALL).collect())) == spelled(rows)
+
+
+def test_spellings_of_empty_tables(spark):
+    assert spellings.variants(frame(spark, [(1, None, None), (2, "", "en"), (3, "short ones", "en")])).count() == 0
+
+
+def test_one_edit():
+    random.seed(1)
+    for _ in range(3000):
+        a, b = ("".join(random.choices("ab", k=random.randint(0, 6))) for _ in range(2))
+        assert spellings.one_edit(a, b) == (b in edits(a, "ab"))
