@@ -11,6 +11,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -30,7 +31,7 @@ TOP = 2000           # phrases reported per language
 UNKNOWN = "und"
 BITS = 64            # of a fingerprint; fewer only make more collisions to settle
 SLICE = 1 << 20      # bytes hashed at once
-GATHERED = 8 << 20   # characters of the texts counted together before anything leaves a task
+GATHERED = 2 << 20   # characters of the texts counted together before anything leaves a task
 FILTER_BITS = 27     # a filter of frequent fingerprints has at most 2^27 bits (16 MB)
 PLACE_BITS = 24      # of an occurrence pointer: the word's number; the others are of the row's mark
 
@@ -260,7 +261,7 @@ def _read(rows: DataFrame, counted: DataFrame, bits: int) -> DataFrame:
     """(lang, size, phrase, a): the words of each fingerprint, read at its occurrence and hashed again.
 
     The pointers are the least of their phrases, so they lie in few texts, those of small
-    marks; only these are shuffled. A text is met once, with all pointers into it.
+    marks; only these are shuffled. A text is met once, with all pointers into it, of every size.
     """
     pointers = counted.groupBy(F.shiftright("place", PLACE_BITS).alias("key")).agg(F.collect_list(F.struct(
         "lang", "size", F.col("key"), F.col("n").alias("a"), F.col("place").bitwiseAND(_PLACE).alias("number"))).alias("wanted"))
@@ -335,21 +336,19 @@ def phrase_counts(docs: DataFrame, key: str = "doc_id", text: str = "text", lang
     occurrences are read again and counted by their words.
     """
     rows = _rows(docs, key, text, lang)
-    known, found, totals = None, [], None
+    known, clear, found, totals = None, [], [], None
     for size in range(1, longest + 1):
         counted = written(frequent(rows, size, known, support, bits), f"grams{size}")
         if size == 1:
             totals = counted.where("size = 0 AND n > 0").select("lang", "n")
         counted = counted.where(F.col("size") == size)
-        found.append(_read(rows, counted.where("low = high"), bits))
+        clear.append(counted.where("low = high"))
         collided = counted.where("low < high").select("lang", "key")
         if not collided.isEmpty():
             found.append(_recounted(rows, collided, size, known, support, bits))
-        known = filter_of(counted)
-    whole = found[0]
-    for part in found[1:]:
-        whole = whole.unionByName(part)
-    return written(whole, "phrases"), totals
+        known = filter_of(counted) if size < longest else None
+    whole = _read(rows, reduce(DataFrame.unionByName, clear), bits)
+    return written(reduce(DataFrame.unionByName, found, whole), "phrases"), totals
 
 
 def _part(words: Column, start: Column | int, size: Column) -> Column:
