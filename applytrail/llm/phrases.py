@@ -30,8 +30,8 @@ COVERED = 80         # percent of a phrase's occurrences that lie in one longer
 TOP = 2000           # phrases reported per language
 UNKNOWN = "und"
 BITS = 64            # of a fingerprint; fewer only make more collisions to settle
-SLICE = 1 << 20      # bytes hashed at once
-GATHERED = 2 << 20   # characters of the texts counted together before anything leaves a task
+SLICE = 1 << 18      # bytes hashed at once
+GATHERED = 1 << 20   # characters of the texts counted together before anything leaves a task
 FILTER_BITS = 27     # a filter of frequent fingerprints has at most 2^27 bits (16 MB)
 PLACE_BITS = 24      # of an occurrence pointer: the word's number; the others are of the row's mark
 
