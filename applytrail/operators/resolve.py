@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from applytrail.functions import text as X
 from applytrail.operators.mail import ANALYSIS_FIELDS
 from applytrail.operators.matching import RULE, MatchRule, best_match
+from applytrail.operators.orphans import UNKNOWN, orphan_jobs
 from applytrail.operators.rows import first_per_key, last_per_key, pick_one, union_sources
 from applytrail.sources.scratch import cut
 
@@ -21,9 +22,9 @@ BOARD_COLUMNS = {
     "linkedin_company_name": "string",
     "linkedin_job_title": "string",
 }
+MAIL_KEY = "mail_key"
 MAIL_COLUMNS = ("filename", "to", "from", "subject", "date", "body", "analysis")
 JOB_COLUMNS = ("application_date", "company_name", "job_title", "job_url")
-UNKNOWN = "Unknown"
 
 
 def prefix_columns(df: DataFrame, prefix: str = "linkedin_", skip: tuple[str, ...] = JOB_COLUMNS) -> list[Column]:
@@ -102,6 +103,7 @@ def to_application(df: DataFrame, record_type: str, asof: Column) -> DataFrame:
         *[(F.col("analysis")[f] if is_mail else F.lit(None).cast(analysis.get(f, "string"))).alias(f"analysis_{f}")
           for f in ANALYSIS_FIELDS],
         *board, *extra,
+        *([F.col(MAIL_KEY).alias("email_key")] if MAIL_KEY in df.columns else []),
     )
 
 
@@ -164,9 +166,6 @@ def orphan_leaders(orphans: DataFrame) -> DataFrame:
     return keyed.join(leaders, ["_company", "_title", "_day"]).drop("_company", "_title", "_day")
 
 
-MAIL_KEY = "mail_key"
-
-
 def one_per_mail(mail: DataFrame) -> DataFrame:
     """Mails under ``mail_key``, a digest of file name, date, sender and content.
 
@@ -181,12 +180,29 @@ def keyed_by_mail(mail: DataFrame) -> DataFrame:
     return mail.withColumn("filename", F.col(MAIL_KEY))
 
 
+def settled_ids(docs: DataFrame, store: DataFrame) -> DataFrame:
+    """Mail records under ids that no other mail has.
+
+    The id built from the file name goes to the mail that has it in the store, else to the one of the
+    least key; other mails of that name and job take their key instead. A mail that comes again
+    gets the id it had.
+    """
+    least = docs.where("email_key IS NOT NULL").groupBy("id").agg(F.min("email_key").alias("_least"))
+    if "email_key" in store.columns:
+        held = store.join(least.select("id"), "id", "left_semi").groupBy("id").agg(F.min("email_key").alias("_held"))
+        least = least.join(held, "id", "left").select("id", F.coalesce("_held", "_least").alias("_least"))
+    own = F.col("email_key").isNull() | (F.col("email_key") == F.col("_least"))
+    named = F.when(own, F.col("id")).otherwise(F.concat_ws("_", "job_id", "email_key"))
+    return docs.join(least, "id", "left").withColumn("id", named).drop("_least")
+
+
 def resolve(mail: DataFrame, jobs: DataFrame, store: DataFrame, asof: Column, rule: MatchRule = RULE) -> DataFrame:
     """Records to upsert for a batch of mails and the current board export.
 
     A mail belongs to its best stored application, else to its best board job, else to a
-    job another mail of the batch was matched to, else to a new job it shares with the
-    batch's other mails of the same name. Board jobs nobody claimed become records too.
+    job another mail of the batch was matched to, else to the job of an earlier unmatched mail
+    of a similar name, or to its own (``orphan_jobs``). Board jobs nobody claimed become records too.
+    Every mail is one record; true copies of a mail are one mail.
     The outcome does not depend on the order or partitioning of the inputs.
     """
     # records hold the opening of a body only, so no more of it is written out
@@ -213,14 +229,14 @@ def resolve(mail: DataFrame, jobs: DataFrame, store: DataFrame, asof: Column, ru
     joined = cut(best_match(keyed_by_mail(rest), new_masters.select(*name), "job_id", None, rule).withColumnRenamed("filename", MAIL_KEY), "resolve-joined")
     with_new = rest.join(joined.select(MAIL_KEY, "job_id"), MAIL_KEY).join(new_masters, "job_id")
 
-    orphans = cut(orphan_leaders(rest.join(joined, MAIL_KEY, "left_anti")), "resolve-orphans")
+    orphans = cut(orphan_jobs(rest.join(joined, MAIL_KEY, "left_anti"), rule), "resolve-orphans")
     known = union_sources(*[d.select("job_id") for d in (masters, new_masters, orphans)])
     alone = unmatched_jobs(board, claimed, known)
     docs = union_sources(
         *[to_application(d, "email", asof) for d in (in_store, from_board, with_new, orphans)],
         to_application(alone, "linkedin", asof),
     )
-    return last_per_key(docs, "id", ("email_date", "email_filename"))
+    return last_per_key(settled_ids(cut(docs, "resolve-docs"), store), "id", ("email_date", "email_filename"))
 
 
 def upsert(store: DataFrame, updates: DataFrame, key: str = "id") -> DataFrame:

@@ -47,3 +47,58 @@ def test_records_of_a_repeated_job_inherit_once(spark):
     for m in (masters, masters.drop("job_ref")):
         got = V.inherit_board_fields(docs, m).orderBy("n").collect()
         assert [(r["n"], r["linkedin_job_url"]) for r in got] == want
+
+
+def stored(spark, docs):
+    """A store as the next batch reads it."""
+    return spark.createDataFrame(docs.collect(), docs.schema)
+
+
+def empty_store(spark, asof):
+    board = spark.createDataFrame([("Zed", "Chef", "u", datetime(2024, 1, 4))],
+                                  "company_name string, job_title string, job_url string, application_date timestamp")
+    return board, V.to_application(V.board_jobs(board), "linkedin", asof)
+
+
+def test_mails_of_one_file_name_and_job_all_stay(spark):
+    at = lambda d, h=9: datetime(2024, 5, d, h)
+    rows = [("f1", "Globex", "Analyst", at(1), "one"), ("f1", "Globex", "Analyst", at(2), "two"), ("f1", "Globex", "Analyst", at(2), "three"),
+            ("f1", "Globex", "Analyst", at(2), "three"), ("f2", "Globex", "Analyst", at(3), "four")]
+    asof = F.lit("2024-07-01").cast("timestamp")
+    board, store = empty_store(spark, asof)
+    first = V.resolve(batch(spark, rows), board, store, asof)
+    mails = [r for r in first.collect() if r["record_type"] == "email"]
+    assert sorted(r["email_body_preview"] for r in mails) == ["four", "one", "three", "two"] and len({r["id"] for r in mails}) == 4
+    # the file name's own id is used once
+    plain = V.X.email_id(F.lit(mails[0]["job_id"]), F.lit("f1"))
+    assert sum(r["id"] == spark.range(1).select(plain).first()[0] for r in mails) == 1
+
+    # one after the other, and again: every mail keeps its id and none replaces another
+    ids = {}
+    for turn in (0, 1):
+        for row in rows[:3]:
+            out = V.resolve(batch(spark, [row]), board, store, asof)
+            store = stored(spark, V.upsert(store, out))
+            got = {r["email_body_preview"]: r["id"] for r in out.collect() if r["record_type"] == "email"}
+            assert turn == 0 or ids[row[4]] == got[row[4]]
+            ids |= got
+    assert len(set(ids.values())) == 3
+    assert sorted(r["email_body_preview"] for r in store.where("record_type = 'email'").collect()) == ["one", "three", "two"]
+
+
+def test_jobs_of_unmatched_mails_do_not_follow_the_batches(spark):
+    at = lambda d: datetime(2024, 5, d, 9)
+    # globex energy - globex enerxy - glbex enexy: the ends do not match each other's names as well
+    rows = [("a", "Globex Energy", "Data Analyst", at(1), "a"), ("b", "Globex Enerxy", "Data Analyst", at(3), "b"), ("c", "Glbex Xnex", "Data Analyst", at(9), "c"),
+            ("d", "Initech", "Welder", at(2), "d"), ("e", "Initeck", "Welder", at(20), "e"), ("f", "Globex Energy", "Data Analyst", at(25), "f")]
+    asof = F.lit("2024-07-01").cast("timestamp")
+    board, store = empty_store(spark, asof)
+    whole = {r["email_body_preview"]: r["job_id"] for r in V.resolve(batch(spark, rows), board, store, asof).collect()}
+    assert whole["a"] == whole["b"] == whole["f"] and whole["d"] == whole["e"] != whole["a"]
+    dated = sorted(rows, key=lambda r: r[3])
+    parts = {}
+    for k in (0, 2, 4):
+        out = V.resolve(batch(spark, dated[k:k + 2]), board, store, asof)
+        store = stored(spark, V.upsert(store, out))
+        parts |= {r["email_body_preview"]: r["job_id"] for r in out.collect()}
+    assert parts == whole
