@@ -1,106 +1,47 @@
-"""Writers, and the application store kept as versioned parquet folders.
-
-The store is a base folder plus one small folder per later batch. Upserting writes only
-the batch; readers let a batch's records replace older ones. ``compact`` folds the
-batches into a new base. No folder that is being read is ever written.
-"""
+"""Writers. The application store is in ``store``; its functions are offered here too."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from applytrail.operators.mail import distinct_mails, with_message_key
-from applytrail.operators.resolve import RECORD_TYPE, keep_created
-from applytrail.operators.rows import last_per_key, union_sources
-
-
-def write_clean(df: DataFrame, path: str, fmt: str = "json", mode: str = "overwrite") -> None:
-    """Clean mails under a deterministic key; of true copies the last file name stays."""
-    distinct_mails(with_message_key(df)).write.mode(mode).format(fmt).save(path)
-
-
-def write_snapshot_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").options(header=True, escape='"').csv(path)
-
-
-def write_quarantine(df: DataFrame, path: str, mode: str = "append") -> None:
-    df.write.mode(mode).json(path)
-
+from applytrail.operators.rows import union_sources
+from applytrail.sources.scratch import cut
+from applytrail.sources.store import compact, init_store, next_number, read_store, write_upsert
 
-def _folders(spark: SparkSession, path: str) -> list[tuple[int, str]]:
-    """Finished store folders as (number, kind), oldest first."""
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path
-    root = jvm_path(path)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return []
-    found = []
-    for status in fs.listStatus(root):
-        kind, _, number = status.getPath().getName().partition("-")
-        if kind in ("base", "batch") and fs.exists(jvm_path(status.getPath(), "_SUCCESS")):
-            found.append((int(number), kind))
-    return sorted(found)
+__all__ = ["compact", "init_store", "next_number", "read_store", "write_clean", "write_quarantine", "write_snapshot_csv", "write_upsert"]
 
+PART = "key_part"
+PARTS = 64   # folders clean mails are dealt into by a hash of their message key
 
-def _current(spark: SparkSession, path: str, before: int | None = None) -> list[tuple[int, str]]:
-    """The newest base and every batch after it, as of just before folder ``before``."""
-    folders = [(n, kind) for n, kind in _folders(spark, path) if before is None or n < before]
-    base = max((n for n, kind in folders if kind == "base"), default=-1)
-    return [(n, kind) for n, kind in folders if n > base or (n == base and kind == "base")]
 
+def write_clean(df: DataFrame, path: str, fmt: str = "json", parts: int = PARTS) -> None:
+    """Add clean mails to a folder, under a deterministic key; of true copies the last file name stays.
 
-def next_number(spark: SparkSession, path: str) -> int:
-    return max((n for n, _ in _folders(spark, path)), default=-1) + 1
-
-
-def read_store(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
-    """Stored application records, the newest of each id, optionally as of an earlier folder.
-
-    Base records only pass an anti join on the ids of the batches; just the batches,
-    small next to the base, are ranked.
+    The folder is partitioned by a hash of the key. Only the partitions that new mails fall
+    into are read and replaced; the others stay as they are, and so do their files.
     """
-    folders = _current(spark, path, before)
-    if not folders:
-        raise FileNotFoundError(f"no store at {path}")
-    parts = {
-        kind: [
-            spark.read.parquet(f"{path}/{k}-{n}").filter(F.col("type") == RECORD_TYPE).withColumn("_number", F.lit(n))
-            for n, k in folders if k == kind
-        ]
-        for kind in ("base", "batch")
-    }
-    batches = last_per_key(union_sources(*parts["batch"]), "id", ("_number",)) if parts["batch"] else None
-    if not parts["base"]:
-        return batches.drop("_number")
-    base = parts["base"][0]
-    if batches is None:
-        return base.drop("_number")
-    kept = base.join(batches.select("id"), "id", "left_anti")
-    return union_sources(kept, batches).drop("_number")
-
-
-def init_store(spark: SparkSession, path: str, like: DataFrame) -> None:
-    """An empty store with the columns of ``like``, unless there is one already."""
-    if not _folders(spark, path):
-        spark.createDataFrame([], like.schema).write.parquet(f"{path}/base-0")
-
+    spark = df.sparkSession
+    part = F.pmod(F.xxhash64("message_key"), F.lit(parts)).cast("int")
+    new = cut(with_message_key(df).withColumn(PART, part), "clean")
+    touched = [r[PART] for r in new.select(PART).distinct().collect()]
+    rows = new
+    try:
+        old = spark.read.schema(new.schema).format(fmt).load(path).where(F.col(PART).isin(touched))
+        rows = union_sources(old, new)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+    # written aside first: the partitions that are replaced are read from the folder itself
+    whole = cut(distinct_mails(rows), "clean-parts")
+    whole.repartition(PART).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PART).format(fmt).save(path)
 
-def write_upsert(spark: SparkSession, path: str, updates: DataFrame, number: int | None = None) -> int:
-    """Upsert records as one batch folder and return its number.
 
-    Writing the same number again replaces that batch, so a replayed stream batch
-    leaves the store as it was.
-    """
-    number = next_number(spark, path) if number is None else number
-    if _current(spark, path, number):
-        updates = keep_created(read_store(spark, path, number), updates)
-    updates.write.mode("overwrite").parquet(f"{path}/batch-{number}")
-    return number
+def write_snapshot_csv(df: DataFrame, path: str) -> None:
+    df.write.mode("overwrite").options(header=True, escape='"').csv(path)
 
 
-def compact(spark: SparkSession, path: str) -> int:
-    """Fold all batches into a new base; older folders stay for readers still on them."""
-    number = next_number(spark, path)
-    read_store(spark, path).write.parquet(f"{path}/base-{number}")
-    return number
+def write_quarantine(df: DataFrame, path: str, mode: str = "append") -> None:
+    df.write.mode(mode).json(path)

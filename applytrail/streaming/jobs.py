@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from applytrail.functions.dates import parse_mixed_utc
 from applytrail.operators.enrich import analyse, split_quarantine
-from applytrail.operators.mail import ANALYSIS_FIELDS, BOOLEAN_FIELDS, CLEAN_FIELDS, INTEGER_FIELDS, clean_message, distinct_mails, with_message_key
+from applytrail.operators.mail import ANALYSIS_FIELDS, BOOLEAN_FIELDS, CLEAN_FIELDS, INTEGER_FIELDS, clean_message, content_key, with_message_key
 from applytrail.operators.matching import RULE, MatchRule
 from applytrail.operators.resolve import resolve
 from applytrail.sources.readers import INBOX_OPTIONS, INBOX_SCHEMA, inbox_columns
@@ -53,8 +53,10 @@ def intake_stream(spark: SparkSession, source: str, out: str, quarantine: str, c
                   archive: str | None = None, files_per_batch: int | None = None) -> StreamingQuery:
     """New raw inbox files, cleaned and keyed. Handled files move to ``archive``.
 
-    The folder a file lies in says nothing about its state: the files of the newest batch
-    are only moved once a later batch runs.
+    A mail is taken once: its message key and content are kept in the query's state, so a copy
+    in a later batch is left out, and a replayed batch finds the state it had. The folder a
+    file lies in says nothing about its state: the files of the newest batch are only moved
+    once a later batch runs.
     """
     reader = spark.readStream.schema(INBOX_SCHEMA).options(**INBOX_OPTIONS)
     if archive:
@@ -63,12 +65,16 @@ def intake_stream(spark: SparkSession, source: str, out: str, quarantine: str, c
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
 
     def handle(batch: DataFrame, number: int) -> None:
-        good, bad = split_quarantine(batch)
-        clean = with_message_key(clean_message(good.select(*CLEAN_FIELDS)))
-        distinct_mails(clean).write.mode("overwrite").parquet(f"{out}/run={number}")
-        bad.write.mode("overwrite").json(f"{quarantine}/run={number}")
-
-    return _start(inbox_columns(reader.json(source)), handle, checkpoint)
+        # written once: mails are cleaned ahead of the state, in Python
+        good, bad = split_quarantine(cut(batch, "intake"))
+        good.select(*CLEAN_STREAM_SCHEMA.names).write.mode("overwrite").parquet(f"{out}/run={number}")
+        bad.select(*CLEAN_FIELDS, "error").write.mode("overwrite").json(f"{quarantine}/run={number}")
+
+    raw = inbox_columns(reader.json(source))
+    clean = with_message_key(clean_message(raw))
+    # unreadable files have no content to know them by: each is kept under its name
+    told = F.when(F.col("error").isNull(), content_key()).otherwise(F.concat(F.lit("file "), F.col("filename")))
+    return _start(clean.withColumn("content", told).dropDuplicates(["message_key", "content"]), handle, checkpoint)
 
 
 def enrich_stream(spark: SparkSession, clean: str, out: str, quarantine: str, checkpoint: str,
