@@ -10,56 +10,77 @@ DAY_MICROS = 86_400_000_000
 # Zone of naive job-board dates.
 BOARD_ZONE = "+02:00"
 
-_ZONED = r"(?i):\d{2}(\.\d+)?\s*(z|[+-]\d{2}:?\d{2})$"
-_MAIL_FORMATS = ("d MMM yyyy HH:mm:ss Z", "d MMM yyyy HH:mm:ss", "d MMM yyyy HH:mm Z", "d MMM yyyy")
-# the same dates as people and spreadsheets write them; the shape of a text picks its group
-_NAMED_FORMATS = (
-    "MMM d, yyyy h:mm a", "MMM d, yyyy HH:mm", "MMM d, yyyy", "MMM d yyyy h:mm a", "MMM d yyyy", "d MMM yyyy h:mm a",
-    "d MMM yyyy HH:mm", "d-MMM-yyyy HH:mm:ss", "d-MMM-yyyy HH:mm", "d-MMM-yyyy", "d MMM yy HH:mm:ss Z", "d MMM yy HH:mm:ss", "d MMM yy",
-)
-_YEAR_FORMATS = ("yyyy/MM/dd HH:mm:ss", "yyyy/MM/dd HH:mm", "yyyy/MM/dd", "yyyyMMdd'T'HHmmssX", "yyyyMMdd'T'HHmmss", "yyyyMMdd",
-                 "yyyy-MM-dd h:mm:ss a", "yyyy-MM-dd h:mm a")
-_DAY_FIRST_FORMATS = ("d/M/yyyy HH:mm:ss", "d/M/yyyy HH:mm", "d/M/yyyy h:mm a", "d/M/yyyy", "d/M/yy HH:mm", "d/M/yy")
-# Zone names of mail headers, in hours
-_ZONE_NAMES = {"EST": "-0500", "EDT": "-0400", "CST": "-0600", "CDT": "-0500", "MST": "-0700", "MDT": "-0600", "PST": "-0800", "PDT": "-0700"}
-_US_FORMATS = (
-    "M/d/yy, h:mm a", "M/d/yyyy, h:mm a", "M/d/yy h:mm a", "M/d/yyyy h:mm a",
-    "M/d/yy HH:mm", "M/d/yyyy HH:mm", "M/d/yyyy HH:mm:ss", "M/d/yy", "M/d/yyyy",
-)
+# Zone names of mail headers
+_ZONE_NAMES = {
+    "GMT": "+0000", "UTC": "+0000", "UT": "+0000", "BST": "+0100", "CET": "+0100", "CEST": "+0200", "SAST": "+0200",
+    "EST": "-0500", "EDT": "-0400", "CST": "-0600", "CDT": "-0500", "MST": "-0700", "MDT": "-0600", "PST": "-0800", "PDT": "-0700",
+}
+# shapes of dates and times: N is a name, E, H and Y are runs of eight, six and four digits, 9 one or two, f a fraction, p AM or PM
+_DATE_SHAPES = {
+    "9 N Y": "d MMM yyyy", "9 N 9": "d MMM yy", "N 9 Y": "MMM d yyyy", "9-N-Y": "d-MMM-yyyy", "9-N-9": "d-MMM-yy",
+    "9/9/Y": "M/d/yyyy", "9/9/9": "M/d/yy", "9.9.Y": "d.M.yyyy", "9.9.9": "d.M.yy", "9-9-Y": "M-d-yyyy",
+    "Y/9/9": "yyyy/M/d", "Y.9.9": "yyyy.M.d", "Y-9-9": "yyyy-M-d", "E": "yyyyMMdd",
+}
+_TIME_SHAPES = {
+    "": "", " 9:9": " H:mm", " 9:9:9": " H:mm:ss", " 9:9:9f": " H:mm:ss.SSSSSSSSS", " 9:9 p": " h:mm a", " 9:9:9 p": " h:mm:ss a", " H": " HHmmss",
+}
+_ZONE_SHAPES = {"": "", " z": " Z"}
+_MONTH_FIRST = ("9/9/Y", "9/9/9")
+
+
+def _formats(dates: dict[str, str]) -> Column:
+    """Shape -> the one format that reads it, for every date, time and zone."""
+    pairs = [(d + t + z, fd + ft + fz) for d, fd in dates.items() for t, ft in _TIME_SHAPES.items() for z, fz in _ZONE_SHAPES.items()]
+    return F.create_map(*[F.lit(x) for pair in pairs for x in pair])
 
 
 def _tidy(c: Column) -> Column:
-    """Drop weekday names and trailing zone comments; write GMT/UTC as an offset."""
-    text = F.trim(F.regexp_replace(c, r"^\s*[A-Za-z]{3,9},\s*|\s*\([^)]*\)\s*$", ""))
-    text = F.regexp_replace(text, r"\u202f", " ")
-    text = F.regexp_replace(text, r"\s+(GMT|UTC|UT)$", " +0000")
+    """One spelling of what dates leave open: no weekday, comma, comment or T, months of three letters, the zone as an offset."""
+    text = F.regexp_replace(c, r"[,\s\u202f]+", " ")
+    text = F.trim(F.regexp_replace(text, r"(?i)^ ?(mon|tue|wed|thu|fri|sat|sun)[a-z]*\.? |\([^)]*\) ?$", ""))
+    text = F.regexp_replace(text, r"([A-Za-z]{3})[A-Za-z]*\.?(?= |-)", "$1")
+    text = F.regexp_replace(text, r"(?i)(\d) ?([ap])\.?m\b\.?", "$1 $2m")
+    text = F.regexp_replace(text, r"(\d)T(\d)", "$1 $2")
+    text = F.regexp_replace(text, r"(\d)[Zz]$", "$1 +0000")
+    text = F.regexp_replace(text, r"(:\d{2}(?:\.\d+)?) ?([+-]\d{2}):?(\d{2})$", "$1 $2$3")
     zone = F.create_map(*[F.lit(x) for pair in _ZONE_NAMES.items() for x in pair])
-    named = F.concat(F.substr(text, F.lit(1), F.length(text) - 3), F.try_element_at(zone, F.right(text, F.lit(3))))
-    return F.when(text.rlike(r"\s[ECMP][SD]T$"), named).otherwise(text)
+    name = F.regexp_extract(text, r" ([A-Z]{2,4})$", 1)
+    offset = F.try_element_at(zone, name)
+    return F.when(offset.isNotNull(), F.concat(F.substr(text, F.lit(1), F.length(text) - F.length(name)), offset)).otherwise(text)
 
 
-def _try_formats(c: Column, formats: tuple[str, ...]) -> list[Column]:
-    return [F.try_to_timestamp(c, F.lit(f)) for f in formats]
+def _shape(text: Column) -> Column:
+    shape = F.regexp_replace(text, r"(?i) [ap]m", " p")
+    shape = F.regexp_replace(shape, r" [+-]\d{4}$", " z")
+    shape = F.regexp_replace(shape, r"(:\d{2})\.\d{1,9}", "$1f")
+    shape = F.regexp_replace(shape, r"[A-Za-z]{3,}", "N")
+    for digits, letter in ((r"\d{8}", "E"), (r"\d{6}", "H"), (r"\d{4}", "Y"), (r"\d{1,2}", "9")):
+        shape = F.regexp_replace(shape, digits, letter)
+    return shape
+
+
+def _read(text: Column, shape: Column, dates: dict[str, str]) -> Column:
+    return F.try_to_timestamp(text, F.try_element_at(_formats(dates), shape))
 
 
 def parse_mixed(c: Column, naive_zone: str = "UTC") -> Column:
-    """ISO 8601, mail-header and month-first dates to an instant.
+    """ISO 8601, mail-header and month-first dates, and other spellings, to an instant.
 
-    Text without an offset is read in ``naive_zone``; unreadable text is null.
+    The shape of a text names the one format that is tried; a month beyond 12 in a date with
+    strokes makes it day-first. Text without an offset is read in ``naive_zone``; unreadable text is null.
     """
     text = _tidy(c)
-    # the cast alone would complete a bare time of day from the clock
-    iso = F.when(text.rlike(r"^\d{4}-\d"), text).try_cast("timestamp")
-    in_group = lambda shape, formats: F.when(text.rlike(shape), F.coalesce(*_try_formats(text, formats)))
+    shape = _shape(text)
+    day_first = {d: _DATE_SHAPES[d].replace("M/d", "d/M") for d in _MONTH_FIRST}
     parsed = F.coalesce(
-        iso,
-        in_group(r"[A-Za-z]{3}", _MAIL_FORMATS + _NAMED_FORMATS),
-        in_group(r"^\d{1,2}/", _US_FORMATS + _DAY_FIRST_FORMATS),
-        in_group(r"^\d{4}", _YEAR_FORMATS),
+        _read(text, shape, _DATE_SHAPES),
+        F.when(shape.startswith("9/9/"), _read(text, shape, day_first)),
+        # years and months alone, region names; the cast alone would complete a bare time of day from the clock
+        F.when(c.rlike(r"^\d{4}-\d"), c).try_cast("timestamp"),
     )
     if naive_zone in ("UTC", "+00:00"):
         return parsed
-    return F.when(text.rlike(_ZONED), parsed).otherwise(F.to_utc_timestamp(parsed, naive_zone))
+    return F.when(shape.endswith(" z"), parsed).otherwise(F.to_utc_timestamp(parsed, naive_zone))
 
 
 def parse_mixed_utc(c: Column) -> Column:
@@ -68,7 +89,8 @@ def parse_mixed_utc(c: Column) -> Column:
 
 def parse_us_date(c: Column) -> Column:
     """Month-first dates only."""
-    return F.coalesce(*_try_formats(_tidy(c), _US_FORMATS))
+    text = _tidy(c)
+    return _read(text, _shape(text), {d: _DATE_SHAPES[d] for d in _MONTH_FIRST})
 
 
 def assume_zone(c: Column, zone: str = BOARD_ZONE) -> Column:

@@ -83,7 +83,8 @@ def parse_analysis(df: DataFrame, source: str = "analysis_json") -> DataFrame:
     """
     schema = T.StructType([*RAW_ANALYSIS_TYPE.fields, T.StructField("_bad", T.StringType())])
     raw = F.from_json(F.col(source), schema, {"columnNameOfCorruptRecord": "_bad"})
-    df = df.withColumn("_raw", raw)
+    # behind a generator the text is parsed once, not once per field
+    df = df.select("*", F.explode(F.array(raw)).alias("_raw"))
     bad = F.col("_raw._bad").isNotNull() | F.col("_raw").isNull() | ~F.trim(source).startswith("{")
     return (
         df.withColumn("analysis", F.when(~bad, conform_analysis(F.col("_raw"))))

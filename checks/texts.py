@@ -172,6 +172,26 @@ def _(spark, sf_dir):
         D.parse_mixed(F.col("text"), D.BOARD_ZONE).alias("board"))
 
 
+# how people, spreadsheets and mail programs write one instant: (format, what is put behind it, what it is cut to, hours to UTC)
+DATE_STYLES = (
+    ("MMMM d, yyyy", "", "day", 0), ("d MMMM yyyy HH:mm", "", "minute", 0), ("MMM d, yyyy, h:mm a", "", "minute", 0),
+    ("yyyy-MM-dd'T'HH:mm", "Z", "minute", 0), ("yyyy-MM-dd'T'HH:mm", "+02:00", "minute", -2), ("d.M.yyyy HH:mm", "", "minute", 0),
+    ("yyyy.MM.dd", "", "day", 0), ("E, d MMM yyyy HH:mm:ss.SSS", " +0000", "millisecond", 0), ("E, d MMM yyyy HH:mm:ss", " BST", "second", -1),
+    ("d-MMM-yyyy HH:mm:ss", "", "second", 0), ("yyyy/MM/dd HH:mm:ss", "", "second", 0), ("yyyyMMdd'T'HHmmss", "Z", "second", 0),
+    ("M/d/yyyy h:mm:ss a", "", "second", 0), ("E MMM d yyyy", "", "day", 0),
+)
+
+
+@query("parse_date_shapes", "SELECT event_id, CASE event_id % " + str(len(DATE_STYLES)) + " " + " ".join(
+    f"WHEN {k} THEN date_trunc('{'milliseconds' if unit == 'millisecond' else unit}', ts::TIMESTAMP) + INTERVAL ({hours}) HOUR"
+    for k, (_, _, unit, hours) in enumerate(DATE_STYLES)) + " END::TIMESTAMP AS utc FROM events")
+def _(spark, sf_dir):
+    events, ts = table(spark, sf_dir, "events"), F.col("ts").cast("timestamp")
+    written = F.coalesce(*[F.when(F.col("event_id") % len(DATE_STYLES) == k, F.concat(F.date_format(ts, form), F.lit(tail)))
+                           for k, (form, tail, _, _) in enumerate(DATE_STYLES)])
+    return events.select("event_id", D.parse_mixed_utc(written).alias("utc"))
+
+
 @query("date_arithmetic", f"""SELECT event_id, abs(floor(date_diff('microsecond', {NOW}, ts::TIMESTAMP) / 86400000000.0))::INT AS floored,
   abs(floor(date_diff('microsecond', ts::TIMESTAMP, {NOW}) / 86400000000.0))::INT AS floored_back,
   datesub('day', ts::TIMESTAMP, {NOW}) AS whole, ts::TIMESTAMP < {NOW} - INTERVAL 21 DAY AS is_old,

@@ -94,8 +94,14 @@ def test_parse_mixed(column):
         "May 6, 2024 10:15 AM": (2024, 5, 6, 10, 15), "May 6 2024": (2024, 5, 6), "6 May 2024 10:15 AM": (2024, 5, 6, 10, 15),
         "06-May-2024 10:15": (2024, 5, 6, 10, 15), "2024/05/06 10:15": (2024, 5, 6, 10, 15), "20240506T101530Z": (2024, 5, 6, 10, 15, 30),
         "2024-05-06 3:04:05 PM": (2024, 5, 6, 15, 4, 5), "13/06/2024 10:00": (2024, 6, 13, 10), "6 May 24 10:15:30": (2024, 5, 6, 10, 15, 30),
+        "September 6, 2024": (2024, 9, 6), "6 September 2024 10:15": (2024, 9, 6, 10, 15), "Sept 6, 2024": (2024, 9, 6), "Sept. 6, 2024": (2024, 9, 6), "4 June 2024": (2024, 6, 4),
+        "2024-05-06T10:15Z": (2024, 5, 6, 10, 15), "2024-05-06T10:15+02:00": (2024, 5, 6, 8, 15), "2024-05-06T10:15:30.25Z": (2024, 5, 6, 10, 15, 30, 250000),
+        "May 6, 2024, 10:15 AM": (2024, 5, 6, 10, 15), "6.5.2024 10:15": (2024, 5, 6, 10, 15), "2024.05.06": (2024, 5, 6), "Monday 6 May 2024": (2024, 5, 6),
+        "Mon, 06 May 2024 10:15:30.123456 +0200": (2024, 5, 6, 8, 15, 30, 123456), "Mon, 06 May 2024 10:15:30 BST": (2024, 5, 6, 9, 15, 30),
+        "5/6/2024 3:04:05 p.m.": (2024, 5, 6, 15, 4, 5), "2024-05": (2024, 5, 1),
         "Mon, 06 May 2024 10:15:30 EST": (2024, 5, 6, 15, 15, 30), "Mon, 06 May 2024 10:15:30 PDT": (2024, 5, 6, 17, 15, 30)}
     assert column(D.parse_mixed_utc, list(written)) == [datetime(*v) for v in written.values()]
+    assert column(D.parse_mixed_utc, ["99 May 2024", "6 Foo 2024", "10:15 May", "May", "20241399", "1/2", "13/13/2024"]) == [None] * 7
     board = column(lambda c: D.parse_mixed(c, D.BOARD_ZONE), texts[:3])
     assert board == [datetime(2024, 5, 6, 8, 15, 30)] * 2 + [datetime(2024, 5, 6, 13, 4)]
     assert column(D.parse_us_date, ["03/04/2024", "2024-03-04"]) == [datetime(2024, 3, 4), None]
