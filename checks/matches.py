@@ -83,14 +83,6 @@ def _(spark, sf_dir):
     return G.best_match(table(spark, sf_dir, "match_mail"), table(spark, sf_dir, "match_jobs"), "job_ref", 10)
 
 
-# the best stored application at any distance in time; no oracle, every mail would meet every record
-@query("match_store")
-def _(spark, sf_dir):
-    board = V.board_jobs(table(spark, sf_dir, "match_jobs").drop("job_ref"))
-    stored = V.to_application(board, "linkedin", asof())
-    return V.match_store(table(spark, sf_dir, "match_mail"), stored)
-
-
 def stored_docs(spark, sf_dir):
     """Applications of the older half of the board, as an earlier run left them."""
     board = V.board_jobs(table(spark, sf_dir, "match_jobs").drop("job_ref"))
@@ -123,6 +115,25 @@ BOARD = f"""{ctes('match_jobs')}, board AS (SELECT *, {SLUG} AS job_id, md5(comp
   strftime(application_date, '%Y-%m-%dT%H:%M:%S') || '+00:00') AS job_hash FROM match_jobs)"""
 
 
+# the best stored application at any distance in time; names meet first, and only those that can reach the threshold meet records
+STORED = f"""WITH {NAMED}, {RATIOS},
+  slugged AS (SELECT *, {SLUG} AS job_id FROM j),
+  stored AS (SELECT * FROM slugged QUALIFY row_number() OVER (PARTITION BY job_id ORDER BY job_url DESC) = 1),
+  names AS (SELECT nc, nt, b, d, cr, tr FROM (SELECT DISTINCT nc, nt FROM m) JOIN cs ON nc = a AND cr >= 0.377 JOIN ts ON nt = c AND tr >= 1.377 - cr)"""
+
+
+@query("match_store", f"""{STORED},
+  scored AS (SELECT filename, job_id, cr, tr, {DAYS.replace('j.', 's.')} AS days_diff, {SCORE} AS score
+    FROM m JOIN names n ON m.nc = n.nc AND m.nt = n.nt JOIN stored s ON s.nc = n.b AND s.nt = n.d)
+  SELECT filename, job_id, score, cr AS company_score, tr AS title_score FROM scored WHERE score >= 0.72
+  QUALIFY row_number() OVER (PARTITION BY filename ORDER BY score DESC, job_id) = 1""")
+def _(spark, sf_dir):
+    board = V.board_jobs(table(spark, sf_dir, "match_jobs").drop("job_ref"))
+    # one record per job, as a store holds them
+    stored = R.last_per_key(V.to_application(board, "linkedin", asof()), "id", ("linkedin_job_url",))
+    return V.match_store(table(spark, sf_dir, "match_mail"), stored)
+
+
 @query("to_application", f"""WITH {BOARD} SELECT job_id || '_linkedin' AS id, 'job_application' AS type, job_id,
     coalesce(nullif(substring({norm_company('company_name')}, 1, 20), ''), 'unknown') AS "partitionKey", 'linkedin' AS record_type,
     company_name, {norm_company('company_name')} AS company_normalized, job_title, {norm_title('job_title')} AS job_title_normalized,
