@@ -153,7 +153,7 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_secret_scan")
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    rows = secrets.scan(docs, secrets.learn_formats(secrets.training_texts(docs)))
+    rows = secrets.scan(docs, secrets.learn(secrets.training_examples(docs)))
     base = F.filter("spans", lambda s: s["kind"] != "inferred")
     listed = lambda spans: F.array_join(
         F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")

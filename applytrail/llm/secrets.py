@@ -3,8 +3,11 @@
 Credentials found by the patterns are the labelled examples. For each kind a prefix tree of
 their characters' classes is merged state by state wherever two states' next-character
 frequencies are statistically compatible (Hoeffding bound); the result is a probabilistic
-automaton. A further automaton learns ordinary tokens. Every long token of a text is scored by
-how much likelier it is under a credential automaton than under the ordinary one.
+automaton. Of credentials only states of the same depth are merged, so states with too few
+examples to tell apart keep place and length, the most of what a format is. A further
+automaton, with merging across depths, learns ordinary tokens. Every token of a text that is as
+long as credentials are is scored by how much likelier it is, per character, under a
+credential automaton than under the ordinary one.
 """
 
 from __future__ import annotations
@@ -15,7 +18,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,15 +27,17 @@ from applytrail.llm.common import chosen, shipped, whole_text, written
 ASSIGN = re.compile(r"""(?ai:(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+))""")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")  # runs of the class are maximal: those of 24 and more
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}")
+TOKEN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{6,}")
 KINDS = ("assign", "access", "hex", "inferred")
 NEEDLES = ("password", "passwd", "secret", "token", "api")
 
-TRAINING_ROWS = 600  # texts with a pattern's match that the automata are learned from
-EXAMPLES = 400       # strings an automaton is learned from
+EXAMPLES = 400       # strings of a kind that an automaton is learned from, those of the smallest hashes
+ORDINARY = 1600      # ordinary tokens likewise
+LONGEST = 256        # characters of a string that is learned from
+SHORTEST = 16        # characters from which tokens are scored; fewer if a credential found has fewer
 CONFIDENCE = 0.05    # of the compatibility test
-MARGIN = 3.0         # nats by which a token must beat every ordinary token learned from
-LEAST = 12.0         # nats that a token needs at least
+MARGIN = 0.25        # nats a character by which a token must beat every ordinary token learned from
+LEAST = 0.5          # nats a character that a token needs at least
 
 Span = tuple[str, int, int]
 
@@ -54,10 +59,18 @@ def credentials(text: str) -> list[tuple[str, str]]:
     return [(k, ASSIGN.fullmatch(text, a, b)[2] if k == "assign" else text[a:b]) for k, a, b in base_spans(text)]
 
 
-def candidates(text: str, spans: list[Span]) -> list[tuple[int, int]]:
-    """Long tokens that no span touches."""
-    return [m.span() for m in CANDIDATE.finditer(text)
-            if not any(a < m.end() and m.start() < b for _, a, b in spans)]
+def candidates(text: str, spans: list[Span], shortest: int = SHORTEST) -> list[tuple[int, int]]:
+    """Tokens of a length that no span touches."""
+    return [m.span() for m in TOKEN.finditer(text) if m.end() - m.start() >= shortest
+            and not any(a < m.end() and m.start() < b for _, a, b in spans)]
+
+
+def examples_of(text: str) -> set[tuple[str, str]]:
+    """(kind, string) of the credentials of a text, and of its other tokens as kind ``ordinary``."""
+    spans = base_spans(text)
+    found = {(k, ASSIGN.fullmatch(text, a, b)[2] if k == "assign" else text[a:b]) for k, a, b in spans}
+    found |= {("ordinary", text[a:b]) for a, b in candidates(text, spans, 6)}
+    return {(k, x) for k, x in found if len(x) <= LONGEST}
 
 
 _CLASSES = {**dict.fromkeys("0123456789", "d"), **dict.fromkeys("abcdef", "h"), **dict.fromkeys("ABCDEF", "H"),
@@ -75,7 +88,8 @@ class Automaton:
     ends: list[int] = field(default_factory=lambda: [0])
 
     @classmethod
-    def learn(cls, strings: list[str], confidence: float = CONFIDENCE) -> Automaton:
+    def learn(cls, strings: list[str], confidence: float = CONFIDENCE, by_depth: bool = False) -> Automaton:
+        """``by_depth`` merges states of one depth only: the automaton has no cycles and keeps lengths."""
         tree = cls()
         for s in sorted(strings, key=lambda s: (len(s), s)):
             at = 0
@@ -88,7 +102,11 @@ class Automaton:
                     tree.ends.append(0)
                 at = tree.next[at][c]
             tree.ends[at] += 1
-        tree._merge_all(math.sqrt(0.5 * math.log(2 / confidence)))
+        width = math.sqrt(0.5 * math.log(2 / confidence))
+        if by_depth:
+            tree._merge_depths(width)
+        else:
+            tree._merge_all(width)
         return tree
 
     def _total(self, q: int) -> int:
@@ -141,6 +159,32 @@ class Automaton:
             else:
                 settled.append(new)
 
+    def _merge_depths(self, width: float) -> None:
+        level = [0]
+        while level:
+            edges = sorted(((q, c) for q in level for c in self.next[q]), key=lambda e: (-self.count[e[0]][e[1]], e))
+            level = []
+            for q, c in edges:
+                new = self.next[q][c]
+                for old in level:
+                    if old == new:
+                        break
+                    if self._compatible(old, new, width):
+                        self.next[q][c] = old
+                        self._fold(old, new)
+                        break
+                else:
+                    level.append(new)
+
+    def states(self) -> int:
+        """Number of states that the first one leads to."""
+        seen, waiting = {0}, [0]
+        while waiting:
+            new = {*self.next[waiting.pop()].values()} - seen
+            seen |= new
+            waiting += new
+        return len(seen)
+
     def log_likelihood(self, s: str) -> float:
         at, total = 0, 0.0
         for c in s:
@@ -159,17 +203,18 @@ class Formats:
     kinds: dict[str, Automaton]
     ordinary: Automaton
     threshold: float
+    shortest: int = SHORTEST
 
     def __post_init__(self) -> None:
         self.cache: dict[str, float] = {}
 
     def score(self, token: str) -> float:
-        """Nats by which the likeliest credential format beats the ordinary one."""
+        """Nats a character by which the likeliest credential format beats the ordinary one."""
         s = token.translate(_TO_CLASS)
         value = self.cache.get(s)
         if value is None:
             value = max((a.log_likelihood(s) for a in self.kinds.values()), default=-math.inf)
-            value -= self.ordinary.log_likelihood(s)
+            value = (value - self.ordinary.log_likelihood(s)) / (len(s) + 1)
             if len(self.cache) > 100_000:
                 self.cache.clear()
             self.cache[s] = value
@@ -180,11 +225,11 @@ class Formats:
         base = base_spans(text)
         if not self.kinds:
             return base
-        more = [("inferred", a, b) for a, b in candidates(text, base) if self.score(text[a:b]) >= self.threshold]
+        more = [("inferred", a, b) for a, b in candidates(text, base, self.shortest) if self.score(text[a:b]) >= self.threshold]
         return sorted(base + more, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
-def training_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", rows: int = TRAINING_ROWS) -> list[str]:
+def training_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", rows: int = 600) -> list[str]:
     """The ``rows`` texts with a pattern's match whose ids have the smallest hashes."""
     t = F.col("t")
     hit = t.rlike(r"AKIA[A-Z0-9]{16}|[0-9a-f]{24}") | t.rlike(
@@ -193,23 +238,47 @@ def training_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", row
     return sorted(r["t"] for r in chosen(written(found, "secret-texts"), rows).collect())
 
 
-def learn_formats(texts: list[str], examples: int = EXAMPLES) -> Formats:
-    """Automata from a bounded list of texts; without a credential in them nothing is inferred."""
-    labelled: dict[str, list[str]] = {}
-    plain: list[str] = []
-    for t in texts:
-        for kind, secret in credentials(t):
-            labelled.setdefault(kind, []).append(secret)
-        spans = base_spans(t)
-        plain += [t[a:b] for a, b in candidates(t, spans)]
-    spread = lambda xs: sorted(set(xs))[:: max(1, len(set(xs)) // examples)]
-    kinds = {k: Automaton.learn([s.translate(_TO_CLASS) for s in spread(v)]) for k, v in sorted(labelled.items())}
-    formats = Formats(kinds, Automaton.learn([s.translate(_TO_CLASS) for s in spread(plain)]), LEAST)
-    ordinary = max((formats.score(s) for s in set(plain) if not re.search(r"\d.*[A-Za-z]|[A-Za-z].*\d", s)), default=0.0)
-    formats.threshold = max(LEAST, ordinary + MARGIN) if kinds else math.inf
+def training_examples(docs: DataFrame, text: str = "text", examples: int = EXAMPLES, ordinary: int = ORDINARY) -> list[tuple[str, str]]:
+    """(kind, string): the distinct strings of the smallest hashes of each kind, from all texts with a pattern's match.
+
+    Found in the tasks; ids play no part, so rows without one or with the same are learned
+    from like others.
+    """
+    t = F.col("t")
+    hit = t.rlike(r"AKIA[A-Z0-9]{16}|[0-9a-f]{24}") | t.rlike(
+        r"""(?i)(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]{6}""")
+
+    @F.pandas_udf(T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("s", T.StringType())])))
+    def found(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series([[{"kind": k, "s": x} for k, x in sorted(examples_of(v))] for v in texts], dtype=object)
+
+    strings = docs.select(whole_text(text).alias("t")).where(hit).select(F.explode(found("t")).alias("e")).select("e.*").distinct()
+    order = Window.partitionBy("kind").orderBy(F.xxhash64("s"), "s")
+    # the plain limit is kept in every task ahead of the shuffle
+    few = strings.withColumn("place", F.row_number().over(order)).where(F.col("place") <= max(examples, ordinary)).where(
+        F.col("place") <= F.when(F.col("kind") == "ordinary", ordinary).otherwise(examples))
+    return sorted((r["kind"], r["s"]) for r in few.collect())
+
+
+def learn(examples: list[tuple[str, str]]) -> Formats:
+    """Automata from a bounded list of strings; without a credential among them nothing is inferred."""
+    of_kind = lambda kind: [s.translate(_TO_CLASS) for k, s in examples if k == kind]
+    kinds = {k: Automaton.learn(of_kind(k), by_depth=True) for k in KINDS if any(k == e[0] for e in examples)}
+    shortest = min([SHORTEST, *(len(s) for k, s in examples if k != "ordinary")])
+    formats = Formats(kinds, Automaton.learn(of_kind("ordinary")), math.inf, shortest)
+    if kinds:
+        # tokens of letters and digits may be credentials themselves
+        plain = [s for k, s in examples if k == "ordinary" and len(s) >= shortest and not re.search(r"\d.*[A-Za-z]|[A-Za-z].*\d", s)]
+        formats.threshold = max([LEAST, *(formats.score(s) + MARGIN for s in plain)])
     return formats
 
 
+def learn_formats(texts: list[str]) -> Formats:
+    """Automata from some texts."""
+    return learn(sorted({e for t in texts for e in examples_of(t)}))
+
+
 SPANS = T.ArrayType(T.StructType([
     T.StructField("kind", T.StringType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
 

@@ -68,6 +68,35 @@ def test_merging_keeps_the_language():
     assert sum(sum(c.values()) for c in automaton.count[:1]) == 400
 
 
+def test_formats_keep_their_length():
+    random.seed(9)
+    key = lambda n=40: "".join(random.choices("0123456789abcdef", k=n))
+    automaton = secrets.Automaton.learn([key().translate(secrets._TO_CLASS) for _ in range(130)], by_depth=True)
+    assert automaton.states() == 41
+    whole, short, long = (automaton.log_likelihood(key(n).translate(secrets._TO_CLASS)) / (n + 1) for n in (40, 30, 50))
+    assert whole > short and whole > long + 0.5
+
+
+def test_unlabelled_credentials_are_found(spark):
+    """Credentials without a keyword, of formats learned from labelled ones, among words, numbers and names."""
+    random.seed(10)
+    draw = lambda letters, n: "".join(random.choices(letters, k=n))
+    hexes, letters, alnum = "0123456789abcdef", "abcdefghijklmnopqrstuvwxyz", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    live, short = lambda: "sk_live_" + draw(alnum, 24), lambda: "k-" + draw(hexes, 10)
+    word = lambda: draw(letters, random.randint(3, 18))
+    clean = lambda: random.choice([word(), f"{word()}-{word()}", f"{word()}_{word()}/{word()}", draw("0123456789", 16), f"20{draw('0123456789', 2)}-05-06"])
+    texts = [" ".join([*(clean() for _ in range(20)), f'token = "{random.choice([live, short])()}"', *(clean() for _ in range(20))]) for _ in range(300)]
+    planted = [random.choice([live, short])() for _ in range(200)]
+    probes = [" ".join([*(clean() for _ in range(10)), p, *(clean() for _ in range(10))]) for p in planted]
+    docs = spark.createDataFrame([(None, t) for t in texts] + [(k, t) for k, t in enumerate(probes)], "doc_id long, text string")
+    formats = secrets.learn(secrets.training_examples(docs))   # no labelled row has an id
+    assert formats.shortest == 12
+    found = [{t[a:b] for k, a, b in formats.spans(t) if k == "inferred"} for t in probes]
+    hits, more = sum(p in f for p, f in zip(planted, found)), sum(len(f - {p}) for p, f in zip(planted, found))
+    assert hits >= 190 and more <= 2, (hits, more)
+    assert secrets.learn(secrets.training_examples(docs.limit(0))).spans(probes[0]) == plain_spans(probes[0])
+
+
 def test_secret_query_digest(spark):
     rows = {r["doc_id"]: r for r in queries.QUERIES["op1_secret_scan"](spark, SMALL).collect()}
     for r in table(spark, SMALL, "documents").collect():
