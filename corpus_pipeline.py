@@ -55,7 +55,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     Null and empty texts, null ids and repeated rows pass as they are; an empty table gives an empty one.
     """
     prepare(spark)
-    formats = secrets.learn_formats(secrets.training_texts(docs))
+    formats = secrets.learn(secrets.training_examples(docs))
     masked = docs.select("doc_id", F.col("text").alias("before"), secrets.redacted(docs, formats).alias("text"), "lang",
                          "source", "n_chars")
     n_chars = F.when(F.col("text") == F.col("before"), F.col("n_chars")).otherwise(
