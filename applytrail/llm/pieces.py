@@ -25,7 +25,8 @@ from pyspark.sql import types as T
 from applytrail.llm.common import whole_text
 
 SPACE = "▁"
-CACHE_SIZE = 200_000  # stretches a task remembers; a full cache starts anew
+CACHE_SIZE = 400_000  # stretches a task remembers; a full cache starts anew
+LONGEST = 32          # characters of a stretch that is remembered
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
@@ -107,6 +108,7 @@ class Codec:
         if self.ids:
             self.automaton.make_automaton()
         self.floor = min((s for s, k in zip(model.scores, model.kinds, strict=True) if k == NORMAL), default=0.0) - 10.0
+        self.rank = {p: -model.scores[i] for p, i in self.ids.items()}
         self.holds: dict[int, bool] = {}
         self.cache: dict[str, bytes] = {}
         # where no piece has a blank after another character, nor an ASCII mark or digit after a
@@ -127,22 +129,34 @@ class Codec:
             text = " " + text
         return text.replace(" ", SPACE) if self.model.escape else text
 
-    def _merged(self, text: str) -> list[str]:
-        """What merging makes of a short text: the best-scored neighbours first, the left ones on a tie."""
-        parts = list(text)
-        while len(parts) > 1:
-            options = [(-self.model.scores[i], k) for k in range(len(parts) - 1)
-                       if (i := self.ids.get(parts[k] + parts[k + 1])) is not None]
-            if not options:
+    def _left_whole(self, last: str, piece: str) -> bool:
+        """Whether merging the characters of two pieces leaves these two: no merge joins one's end to the other's start.
+
+        The best-scored neighbours are merged first, the left ones on a tie.
+        """
+        rank, never = self.rank, np.inf
+        parts, border = [*last, *piece], len(last)
+        ranks = [rank.get(a + b, never) for a, b in zip(parts, parts[1:])]
+        while ranks:
+            best = min(ranks)
+            if best is never:
                 break
-            k = min(options)[1]
+            k = ranks.index(best)
+            if k + 1 == border:
+                return False
+            border -= k < border
             parts[k:k + 2] = [parts[k] + parts[k + 1]]
-        return parts
+            del ranks[k]
+            if k:
+                ranks[k - 1] = rank.get(parts[k - 1] + parts[k], never)
+            if k < len(ranks):
+                ranks[k] = rank.get(parts[k] + parts[k + 1], never)
+        return len(parts) == (2 if last else 1)
 
     def _holds(self, last: int, piece: int) -> bool:
-        """Merging the two pieces' characters together leaves exactly these two; -1 is no piece at all."""
-        parts = [self.model.pieces[piece]] if last < 0 else [self.model.pieces[last], self.model.pieces[piece]]
-        known = self._merged("".join(parts)) == parts
+        """Whether merging leaves a piece, and the one before it, as they are; -1 is no piece at all."""
+        pieces = self.model.pieces
+        known = self._left_whole(pieces[last] if last >= 0 else "", pieces[piece])
         if len(self.holds) > 1_000_000:
             self.holds.clear()
         self.holds[last << 32 | piece] = known
@@ -199,13 +213,15 @@ class Codec:
             return np.array(self.segment(text), dtype="<i4").tobytes()
         cache = self.cache
         stretches = self.cut.findall(text)
-        for s in {s for s in stretches if s not in cache}:
-            if len(cache) >= CACHE_SIZE:
-                kept = {x: cache[x] for x in stretches if x in cache}
-                cache.clear()
-                cache.update(kept)
-            cache[s] = np.array(self.segment(s), dtype="<i4").tobytes()
-        return b"".join(map(cache.__getitem__, stretches))
+        missing = {s for s in stretches if s not in cache}
+        if not missing:
+            return b"".join(map(cache.__getitem__, stretches))
+        new = {s: np.array(self.segment(s), dtype="<i4").tobytes() for s in missing}
+        out = b"".join([new[s] if s in new else cache[s] for s in stretches])
+        if len(cache) + len(new) > CACHE_SIZE:
+            cache.clear()
+        cache.update((s, ids) for s, ids in new.items() if len(s) <= LONGEST)
+        return out
 
     def encode(self, text: str) -> list[int]:
         return np.frombuffer(self.packed(text), dtype="<i4").tolist()
