@@ -12,8 +12,11 @@ from __future__ import annotations
 
 import re
 import struct
+import sys
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
+from types import ModuleType
 
 import ahocorasick
 import numpy as np
@@ -216,7 +219,7 @@ class Codec:
         missing = {s for s in stretches if s not in cache}
         if not missing:
             return b"".join(map(cache.__getitem__, stretches))
-        new = {s: np.array(self.segment(s), dtype="<i4").tobytes() for s in missing}
+        new = {s: array("i", self.segment(s)).tobytes() for s in missing}
         out = b"".join([new[s] if s in new else cache[s] for s in stretches])
         if len(cache) + len(new) > CACHE_SIZE:
             cache.clear()
@@ -231,6 +234,18 @@ class Codec:
         return text[1:] if self.model.prefix and text.startswith(" ") else text
 
 
+def _resident(data: bytes) -> Codec:
+    """The codec of a model, kept by the worker process: what one task has worked out, the next need not.
+
+    The package travels by value, so its own modules start anew in each task; a module of the
+    process holds one codec, that of the last model.
+    """
+    kept = sys.modules.setdefault("applytrail_resident_codec", ModuleType("applytrail_resident_codec"))
+    if getattr(kept, "model", None) != data:
+        kept.model, kept.codec = data, Codec(Pieces.read(data))
+    return kept.codec
+
+
 def _shipped(docs: DataFrame, path: str):
     with open(path, "rb") as f:
         return docs.sparkSession.sparkContext.broadcast(f.read())
@@ -242,7 +257,7 @@ def ids_of(docs: DataFrame, path: str, text: str = "text") -> Column:
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        codec = Codec(Pieces.read(data.value))
+        codec = _resident(data.value)
         for texts in batches:
             yield pd.Series([np.frombuffer(codec.packed(t), dtype="<i4") for t in texts])
     return encode(whole_text(text))
@@ -254,7 +269,7 @@ def text_of(docs: DataFrame, path: str, ids: str = "ids") -> Column:
 
     @F.pandas_udf(T.StringType())
     def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        codec = Codec(Pieces.read(data.value))
+        codec = _resident(data.value)
         for rows in batches:
             yield pd.Series([codec.decode(r.tolist()) if r is not None else "" for r in rows])
     return decode(F.col(ids))
