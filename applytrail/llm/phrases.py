@@ -220,16 +220,23 @@ def counts_of(batch: Batch, marks: np.ndarray, size: int) -> pa.RecordBatch:
 
 
 def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, list]]:
-    """The columns of some Arrow batches together, up to ``GATHERED`` characters of text and one batch."""
-    held, size = [], 0
+    """The columns of the rows in portions of at least ``GATHERED`` characters of text, or one longer text more."""
+    held: dict[str, list] = {}
+    size = 0
     for batch in batches:
-        held.append(batch)
-        size += batch.column("t").nbytes
-        if size >= GATHERED:
-            yield pa.Table.from_batches(held).to_pydict()
-            held, size = [], 0
+        columns = batch.to_pydict()
+        begun = 0
+        for at, text in enumerate(columns["t"], 1):
+            size += len(text)
+            if size >= GATHERED or at == batch.num_rows:
+                for name, values in columns.items():
+                    held.setdefault(name, []).extend(values[begun:at])
+                begun = at
+            if size >= GATHERED:
+                yield held
+                held, size = {}, 0
     if held:
-        yield pa.Table.from_batches(held).to_pydict()
+        yield held
 
 
 def _rows(docs: DataFrame, key: str, text: str, lang: str) -> DataFrame:
