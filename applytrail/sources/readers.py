@@ -18,6 +18,7 @@ from applytrail.functions.text import clean_bool, nullify
 from applytrail.operators.mail import CLEAN_FIELDS, RAW_ANALYSIS_TYPE, conform_analysis
 from applytrail.operators.rows import union_sources
 from applytrail.operators.savedjobs import saved_jobs
+from applytrail.sources.records import LARGE, is_large, joined, pieces
 from applytrail.sources.scratch import spread
 
 
@@ -31,6 +32,8 @@ INBOX_SCHEMA = T.StructType([*_strings(INBOX_FIELDS).fields, T.StructField("_cor
 INBOX_OPTIONS = {"multiLine": "true", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
 CLEAN_SCHEMA = T.StructType([*_strings(CLEAN_FIELDS).fields, T.StructField("analysis", RAW_ANALYSIS_TYPE)])
 APPLICATION_FIELDS = ("Application Date", "Company Name", "Job Title", "Job Url", "Question And Answers")
+# fixed values: how the phrase between two blocks ends, and what stands before that
+BLOCK_END, BLOCK_END_AFTER = "Add note", r"(?U)Notes\s*\z"
 MIME_SCHEMA = _strings((*CLEAN_FIELDS, "error"))
 
 
@@ -146,9 +149,20 @@ def feature_jobs(features: DataFrame) -> DataFrame:
     })
 
 
-def read_saved_jobs(spark: SparkSession, path: str, asof: Column) -> DataFrame:
-    """Pasted dumps, one text per file, parsed to saved jobs."""
-    return saved_jobs(spread(spark.read.text(path, wholetext=True)), asof)
+def read_dumps(spark: SparkSession, path: str | list[str], limit: int = LARGE) -> DataFrame:
+    """Pasted dumps: a small file as one text, a large one as a text per job block.
+
+    Ranges of a large file are cut at the end of the phrase that parts two blocks; where that
+    end stands alone, it parts nothing and both sides are one text again.
+    """
+    small = spark.read.text(path, wholetext=True).where(~is_large(limit)).select("value")
+    blocks = joined(pieces(spark, path, BLOCK_END, limit), BLOCK_END, lambda _: F.col("value").rlike(BLOCK_END_AFTER))
+    return spread(small).union(blocks.select("value"))
+
+
+def read_saved_jobs(spark: SparkSession, path: str | list[str], asof: Column, limit: int = LARGE) -> DataFrame:
+    """Pasted dumps, one or several jobs a file, parsed to saved jobs."""
+    return saved_jobs(read_dumps(spark, path, limit), asof)
 
 
 def sync_missing(source: DataFrame, done: DataFrame, key: str = "filename") -> DataFrame:
