@@ -30,6 +30,7 @@ INBOX_FIELDS = {"Subject": "subject", "Body": "body", "To": "to", "From": "from"
                 "DateTimeReceived": "date"}
 INBOX_SCHEMA = T.StructType([*_strings(INBOX_FIELDS).fields, T.StructField("_corrupt", T.StringType())])
 INBOX_OPTIONS = {"multiLine": "true", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+CSV_OPTIONS = {"multiLine": "true", "escape": '"'}
 CLEAN_SCHEMA = T.StructType([*_strings(CLEAN_FIELDS).fields, T.StructField("analysis", RAW_ANALYSIS_TYPE)])
 APPLICATION_FIELDS = ("Application Date", "Company Name", "Job Title", "Job Url", "Question And Answers")
 # fixed values: how the phrase between two blocks ends, and what stands before that
@@ -98,12 +99,29 @@ def read_mime(spark: SparkSession, path: str) -> DataFrame:
     return named.mapInPandas(_mime_rows, MIME_SCHEMA)
 
 
+def read_quoted_csv(spark: SparkSession, path: str, limit: int = LARGE) -> DataFrame:
+    """CSV with a header and quoted line breaks, all columns text; large files are read by ranges.
+
+    A line ends a record if the quotes up to it are even in number. That asks for what CSV
+    writers do: a value that holds a quote is quoted, and the quote is doubled. Lines end in
+    LF or CRLF, and a file's first line is its header; blank lines are no records.
+    """
+    whole = spark.read.options(header=True, **CSV_OPTIONS).csv(path)
+    value = F.col("value")
+    quotes = F.length(value) - F.length(F.replace(value, F.lit('"'), F.lit("")))
+    records = joined(pieces(spark, path, "\n", limit), "\n", lambda parity: parity == 0, quotes).where(~F.col("first"))
+    lines = records.select(F.regexp_replace("value", r"\r?\n\z", "").alias("value")).where(value != "")
+    schema = ", ".join(f"`{c.replace('`', '``')}` STRING" for c in whole.columns)
+    ranged = lines.select(F.from_csv("value", schema, CSV_OPTIONS).alias("row")).select("row.*")
+    return whole.where(~is_large(limit)).union(ranged)
+
+
 def read_applications_csv(spark: SparkSession, paths: list[str]) -> DataFrame | None:
     """Application exports; a missing file is reported and skipped, none at all gives None."""
     frames = []
     for path in paths:
         try:
-            found = spark.read.options(header=True, multiLine=True, escape='"').csv(path)
+            found = read_quoted_csv(spark, path)
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
@@ -123,7 +141,7 @@ def read_feature_csv(spark: SparkSession, path: str, month_first: bool = False)
 
     ``Application_Date`` is a board date; ``month_first`` reads it as month-first only.
     """
-    raw = spark.read.options(header=True, multiLine=True, escape='"').csv(path)
+    raw = read_quoted_csv(spark, path)
     columns = []
     for c in raw.columns:
         value = F.col(f"`{c}`")

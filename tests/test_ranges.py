@@ -1,3 +1,4 @@
+import csv
 import random
 
 import pytest
@@ -48,3 +49,29 @@ def test_one_large_dump_is_read_by_several_tasks(spark, tmp_path, small_ranges):
     assert scan.select(F.spark_partition_id().alias("p")).distinct().count() > 4
     got = readers.read_saved_jobs(spark, str(tmp_path / "one.txt"), F.lit(ASOF).cast("timestamp"), limit=0)
     assert {r.role for r in got.collect()} == {f"Clerk {i}" for i in range(400)}
+
+
+def test_quoted_csv_by_ranges_equals_the_whole_file_reader(spark, tmp_path, small_ranges):
+    rng = random.Random(11)
+    cells = ["", "a", 'x "y"', "two\nlines", "\n\n", '"', '""', "a,b", "é\r\nü", "n/a", "z" * 90, ',"\n",']
+    for k in range(10):
+        with open(tmp_path / f"f{k}.csv", "w", newline="", encoding="utf-8") as f:
+            out = csv.writer(f, lineterminator="\r\n" if k % 2 else "\n", quoting=csv.QUOTE_ALL if k % 3 else csv.QUOTE_MINIMAL)
+            out.writerow(["", "Job Title", "Answers\nand `more`"])
+            for i in range(rng.choice([0, 1, 60, 150])):
+                out.writerow([f"{k}-{i}", rng.choice(cells), rng.choice(cells)])
+        if k == 3:  # no line break at the end
+            path = tmp_path / "f3.csv"
+            path.write_bytes(path.read_bytes().rstrip(b"\r\n"))
+    whole = spark.read.options(header=True, **readers.CSV_OPTIONS).csv(str(tmp_path))
+    ranged = readers.read_quoted_csv(spark, str(tmp_path), limit=0)
+    assert ranged.columns == whole.columns
+    assert sorted(map(str, ranged.collect())) == sorted(map(str, whole.collect()))
+    assert whole.count() > 100
+
+
+def test_ranges_of_files_without_records(spark, tmp_path):
+    (tmp_path / "empty.csv").write_text("A,B\n")
+    (tmp_path / "none.txt").write_text("")
+    assert readers.read_quoted_csv(spark, str(tmp_path / "empty.csv"), limit=0).collect() == []
+    assert readers.read_dumps(spark, str(tmp_path / "none.txt"), limit=0).collect() == []
