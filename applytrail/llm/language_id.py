@@ -23,7 +23,7 @@ DIMENSIONS = 1024
 SYMBOLS = 64             # blank, 47 letters of their own, 16 shared by all other letters
 OWN_LETTERS = 47
 ROWS_PER_LANGUAGE = 800  # training rows of a language
-LANGUAGES = 1000         # languages learned, the commonest first: bounds the prototypes
+LANGUAGES = 8192         # languages learned, the commonest first: more than have a code of three letters
 SHARPNESS = 12.0         # of the score's softmax over cosines
 UNKNOWN = "und"
 
@@ -108,19 +108,22 @@ class Profiles:
 
 def training_rows(docs: DataFrame, learn: Column, rows: int = ROWS_PER_LANGUAGE, languages: int = LANGUAGES,
                   key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """(lang, t): of each language the ``rows`` texts whose ids have the smallest hashes.
+    """(lang, t): of each language the ``rows`` texts with the smallest hashes of id and text.
 
-    The choice is the same whatever the layout; ids and languages alone are ranked. The
-    chosen ids, at most ``rows * languages`` of them, are broadcast, so no text is shuffled.
+    The choice is the same whatever the layout. Rows without an id count like others, those
+    that share one are told apart by their texts, and equal rows count once, so ``rows *
+    languages`` bounds the result. Hashes alone are ranked; a language's last hash, broadcast,
+    then picks its texts from the scan.
     """
-    usable = docs.where(learn & F.col(lang).isNotNull() & F.col(text).isNotNull())
-    chosen = usable.groupBy(F.col(lang).alias("lang")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(
+    usable = docs.where(learn & F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
+        F.col(lang).alias("lang"), F.xxhash64(F.col(key), F.col(text)).alias("hash"), F.col(text).alias("t"))
+    chosen = usable.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(
         languages).select("lang")
-    ranked = usable.select(F.col(lang).alias("lang"), F.col(key).alias("id")).join(chosen, "lang").withColumn(
-        "place", F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")))
-    ids = ranked.where(F.col("place") <= rows).select("id").distinct()
-    return usable.select(F.col(key).alias("id"), F.col(lang).alias("lang"), F.col(text).alias("t")).join(
-        F.broadcast(ids), "id").join(F.broadcast(chosen), "lang").select("lang", "t")
+    ranked = usable.select("lang", "hash").join(chosen, "lang").withColumn(
+        "place", F.dense_rank().over(Window.partitionBy("lang").orderBy("hash")))
+    last = ranked.where(F.col("place") <= rows).groupBy("lang").agg(F.max("hash").alias("last"))
+    return usable.join(F.broadcast(last), "lang").where("hash <= last").groupBy("lang", "hash").agg(
+        F.min("t").alias("t")).select("lang", "t")
 
 
 def learn_profiles(rows: DataFrame) -> Profiles:
