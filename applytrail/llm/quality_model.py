@@ -98,7 +98,9 @@ def score(docs: DataFrame, labels: DataFrame, learn: Column, key: str = "doc_id"
     rows = written(ratios(docs, key, as_column(host), as_column(path), text), "quality-ratios")
     known = chosen(labels.where(F.col(label).isNotNull() & learn).groupBy(F.col(key).alias("id")).agg(
         F.max(label).alias("y")), TRAINING_ROWS)
-    sample = rows.join(F.broadcast(known), "id").select(*FEATURES, "y").orderBy(*FEATURES, "y").collect()
+    # one row an id, the least of those that share it
+    labelled = rows.join(F.broadcast(known), "id").groupBy("id", "y").agg(F.min(F.struct(*FEATURES)).alias("of"))
+    sample = labelled.select("of.*", "y").orderBy(*FEATURES, "y").collect()
     x = np.array([[r[f] for f in FEATURES] for r in sample], dtype=np.float64).reshape(-1, len(FEATURES))
     model = fit(x, np.array([float(r["y"]) for r in sample]))
 
