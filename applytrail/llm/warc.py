@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from applytrail.llm.common import shipped, written
 from applytrail.sources.scratch import shared_folder
 
+LEAST_LOOKUPS, MOST_LOOKUPS = 1000, 100_000  # records read by a task; the number of rows and cores decides between
 BLOCK_LINES = 1000       # index lines in a compressed block
 FILE_BYTES = 1 << 30     # a WARC file is closed beyond this size
 DATE = "2024-01-31T00:00:00Z"  # of the records: pages carry no time of capture
@@ -144,8 +145,9 @@ def captures(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
     payload = F.coalesce(F.col(html), F.lit(""))
     rows = pages.select(F.col(key).alias("page_id"), F.col(url).alias("url"), payload.alias("payload"),
                         F.octet_length(payload).cast("long").alias("size"), F.sha1(payload).alias("sha1"))
-    firsts = rows.where(F.col("size") >= least).groupBy("sha1", "size").agg(
-        F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    # written, so that the planner knows their size: payloads are not shuffled where few repeat
+    firsts = written(rows.where(F.col("size") >= least).groupBy("sha1", "size").agg(
+        F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n"), "repeated-payloads")
     refers_to = F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first"))
     return rows.join(firsts, ["sha1", "size"], "left").select(
         "page_id", "url", F.when(refers_to.isNull(), F.col("payload")).alias("payload"), "size", "sha1",
@@ -202,32 +204,34 @@ class Lookup:
     def __init__(self, where: Archive) -> None:
         self.reader, self.shards = _Reader(where.folder), where.shards
         self.bounds = [s[0] for s in where.shards]
-        self.directories: OrderedDict[int, list] = OrderedDict()
-        self.block: tuple[object, list] = (None, [])
+        self.directories: OrderedDict[int, tuple[list, list]] = OrderedDict()
+        self.block: tuple[object, list, list] = (None, [], [])
 
-    def _directory(self, shard: int) -> list:
+    def _directory(self, shard: int) -> tuple[list, list]:
+        """A shard's blocks and their first keys."""
         if shard not in self.directories:
             if len(self.directories) >= 4:
                 self.directories.popitem(last=False)
             text = self.reader.member(*self.shards[shard][1:]).decode("utf-8")
-            self.directories[shard] = [json.loads(line) for line in text.split("\n")]
+            blocks = [json.loads(line) for line in text.split("\n")]
+            self.directories[shard] = blocks, [b[0] for b in blocks]
         return self.directories[shard]
 
-    def _lines(self, place: list) -> list:
+    def _lines(self, place: list) -> tuple[list, list]:
+        """A block's captures and their keys."""
         if self.block[0] != tuple(place):
             text = self.reader.member(*place).decode("utf-8")
-            self.block = (tuple(place), [json.loads(line) for line in text.split("\n")])
-        return self.block[1]
+            lines = [json.loads(line) for line in text.split("\n")]
+            self.block = tuple(place), lines, [line[0] for line in lines]
+        return self.block[1:]
 
     def find(self, key: str) -> Iterator[dict]:
         """Records of every capture under the key, which may run over blocks and shards."""
         shard = max(bisect_left(self.bounds, key) - 1, 0)
         for s in range(shard, max(bisect_right(self.bounds, key), shard + 1) if self.bounds else 0):
-            directory = self._directory(s)
-            firsts = [d[0] for d in directory]
+            directory, firsts = self._directory(s)
             for b in range(max(bisect_left(firsts, key) - 1, 0), max(bisect_right(firsts, key), 1)):
-                lines = self._lines(directory[b][1:])
-                keys = [line[0] for line in lines]
+                lines, keys = self._lines(directory[b][1:])
                 for line in lines[bisect_left(keys, key):bisect_right(keys, key)]:
                     yield parse(self.reader.member(*line[1:]))
 
@@ -240,7 +244,10 @@ def lookup(wanted: DataFrame, where: Archive, key: str = "page_id", url: str = "
     """
     spark = wanted.sparkSession
     kind = dict(wanted.dtypes)[key]
-    keys = wanted.select(capture_key(F.col(url), F.col(key)).alias("key")).distinct()
+    keys = written(wanted.select(capture_key(F.col(url), F.col(key)).alias("key")).distinct(), "wanted-captures")
+    # a key is short, the record behind it is not: tasks are counted by records to read
+    n = keys.count()
+    tasks = max(1, n // MOST_LOOKUPS, min(n // LEAST_LOOKUPS, 2 * spark.sparkContext.defaultParallelism))
     told = shipped(spark, where)
     fields = ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", *["payload"] * payload]
 
@@ -254,5 +261,5 @@ def lookup(wanted: DataFrame, where: Archive, key: str = "page_id", url: str = "
 
     schema = ("page_id string, url string, payload_bytes long, payload_digest string, record_type string, "
               "refers_to string" + ", payload binary" * payload)
-    rows = keys.repartitionByRange("key").sortWithinPartitions("key").mapInPandas(read, schema)
+    rows = keys.repartitionByRange(tasks, "key").sortWithinPartitions("key").mapInPandas(read, schema)
     return rows.withColumns({"page_id": F.col("page_id").cast(kind), "refers_to": F.col("refers_to").cast(kind)})
