@@ -187,14 +187,16 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> np.ndarray:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, learn: Column, rows: int = TRAINING_ROWS) -> DataFrame:
-    """(id, t, label) of the ``rows`` labelled texts whose ids have the smallest hashes.
+    """(id, t, label): the texts of the ``rows`` labelled ids with the smallest hashes, one an id.
 
-    Those ids, ``rows`` at most, are broadcast: no text is shuffled.
+    Of texts that share an id the one of the smallest hash is taken. The ids, ``rows`` at most,
+    are broadcast, and their texts are reduced before they are shuffled.
     """
     known = labels.where(F.col("toxic").isNotNull()).groupBy(F.col("doc_id").alias("id")).agg(
         F.max("toxic").alias("label"))
     ids = chosen(known.withColumn("doc_id", F.col("id")).where(learn), rows).select("id", "label")
-    return docs.select(F.col("doc_id").alias("id"), whole_text().alias("t")).join(F.broadcast(ids), "id")
+    texts = docs.select(F.col("doc_id").alias("id"), whole_text().alias("t")).join(F.broadcast(ids), "id")
+    return texts.groupBy("id", "label").agg(F.min_by("t", F.struct(F.xxhash64("t"), "t")).alias("t")).select("id", "t", "label")
 
 
 def train(rows: DataFrame) -> Machine | None:

@@ -297,6 +297,22 @@ def test_quality_edges(spark, docs):
 
 # --- pipeline
 
+def test_training_rows_are_bounded_by_rows_not_ids(spark):
+    """Null and repeated ids: every text can be learned from, none more than once."""
+    texts = [(None, f"uno dos tres {i}", "es") for i in range(50)] + [(7, f"one two three {i}", "en") for i in range(300)] + [
+        (8, "the same", "en")] * 40
+    docs = spark.createDataFrame(texts, "doc_id long, text string, lang string")
+    for layout in (docs, docs.repartition(7)):
+        rows = [(r["lang"], r["t"]) for r in language_id.training_rows(layout, F.lit(True), rows=80).collect()]
+        assert len(rows) == len(set(rows)) == 50 + 80 and sum(lang == "es" for lang, _ in rows) == 50
+    everything = language_id.training_rows(docs, F.lit(True), rows=1000).collect()
+    assert sum(r["lang"] == "en" for r in everything) == 301
+
+    labels = spark.createDataFrame([(7, 1), (8, 0), (9, 1), (None, 1)], "doc_id long, toxic int")
+    judged = [toxicity.training_rows(d, labels, F.lit(True)).collect() for d in (docs, docs.repartition(5))]
+    assert len(judged[0]) == 2 and sorted(judged[0]) == sorted(judged[1])
+
+
 def test_chosen_rows_do_not_follow_the_layout(spark):
     a, b = spark.range(5000).repartition(7), spark.range(5000)
     assert sorted(chosen(a, 50).collect()) == sorted(chosen(b, 50).collect())
