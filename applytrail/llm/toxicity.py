@@ -212,8 +212,7 @@ def train(rows: DataFrame) -> Machine | None:
     odds = F.log((F.col("toxic") + 0.5) / (n_toxic + 1)) - F.log((F.col("clean") + 0.5) / (n_clean + 1))
     # a witness is well above chance even when two texts less had held it
     sure = F.log(F.greatest(F.col("toxic") - 2, F.lit(0)) + 0.1) - F.log((F.col("clean") + 0.5) * n_toxic / n_clean)
-    least = 3 if n_toxic >= 40 else 2
-    witnesses = words.where((F.col("toxic") >= least) & (F.length("word") >= 3) & (odds > 2.0) & ((sure > 0.5) | (least == 2)))
+    witnesses = words.where((F.col("toxic") >= 3) & (F.length("word") >= 3) & (odds > 2.0) & (sure > 0.5))
     toxic = [(r["word"], float(r["toxic"])) for r in
              witnesses.orderBy((-odds * F.col("toxic")), "word").limit(WITNESSES).collect()]
     if not toxic:
