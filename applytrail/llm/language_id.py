@@ -117,10 +117,13 @@ def training_rows(docs: DataFrame, learn: Column, rows: int = ROWS_PER_LANGUAGE,
     """
     usable = docs.where(learn & F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(lang).alias("lang"), F.xxhash64(F.col(key), F.col(text)).alias("hash"), F.col(text).alias("t"))
-    chosen = usable.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(
-        languages).select("lang")
-    ranked = usable.select("lang", "hash").join(chosen, "lang").withColumn(
-        "place", F.dense_rank().over(Window.partitionBy("lang").orderBy("hash")))
+    sizes = usable.groupBy("lang").agg(F.count("*").alias("n"), F.approx_count_distinct("hash").alias("texts")).orderBy(
+        F.desc("n"), "lang").limit(languages)
+    # about twice as many hashes as wanted are ranked, however many rows a language or a task has
+    place = F.col("hash") / F.lit(2.0 ** 64) + 0.5
+    near = usable.select("lang", "hash").join(F.broadcast(sizes), "lang").where(
+        place <= 2.0 * rows / F.col("texts")).select("lang", "hash").distinct()
+    ranked = near.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("hash")))
     last = ranked.where(F.col("place") <= rows).groupBy("lang").agg(F.max("hash").alias("last"))
     return usable.join(F.broadcast(last), "lang").where("hash <= last").groupBy("lang", "hash").agg(
         F.min("t").alias("t")).select("lang", "t")
