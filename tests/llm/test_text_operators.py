@@ -151,10 +151,36 @@ def test_containment_equals_brute_force(spark):
             [(r[0],) for r in want]) or sorted(map(str, [tuple(r)[:4] for r in got])) == sorted(map(str, want))
     flagged = {r["doc_id"] for r in a.where(decontamination.contains_any(a, b)).collect()}
     assert flagged == {d for d, *_ in want}
+    for block in (4_000_000, 900):
+        clean = decontamination.without_contained(a, b, block_chars=block)
+        assert clean.columns == a.columns
+        assert by_id([(r["doc_id"],) for r in clean.collect()]) == by_id([(d,) for d, _ in docs if d not in flagged])
+    assert decontamination.without_contained(a, b.limit(0)).count() == len(docs)
     assert decontamination.contained(a, b.limit(0)).count() == 0
     assert decontamination.contained(a.limit(0), b).count() == 0
 
 
+def test_item_blocks_follow_size_classes():
+    plan = decontamination.block_plan([(4, 900), (2, 30), (3, 60), (5, 40), (6, 70)], 100)
+    assert plan == [[(2, 0, 1), (3, 0, 1)], *[[(4, s, 9)] for s in range(9)], [(5, 0, 1)], [(6, 0, 1)]]
+    assert decontamination.block_plan([], 100) == []
+    assert [decontamination.size_class(n) for n in (1, 2, 3, 4, 7, 8)] == [1, 2, 2, 3, 3, 4]
+
+
+def test_sketches_of_a_class_have_one_length():
+    texts = [" ".join(f"w{i}x{j}" for j in range(n + 4)) for i, n in enumerate((8, 11, 15, 16, 31))]
+    items = decontamination.Items.of(enumerate(texts), 5, 0.8)
+    assert [c.smallest for c in items.classes[5]] == [7, 13]
+    # 8 and 16 shingles: the sketch of the class is longer than what the item itself may miss
+    assert items.least == [4 - 1, 4 - 2, 4 - 3, 7 - 3, 7 - 6]
+    ready = items.ready()
+    for i, t in enumerate(texts):
+        assert ready.contained_in(f"before {t} after", 0.8) == [(i, len(t.split()) - 4, len(t.split()) - 4)]
+        words = t.split()
+        half = " ".join(words[:len(words) // 2])
+        assert ready.contained_in(half, 0.8) == []
+
+
 def test_token_counts_equal_the_library(docs, spark):
     tokenizer = Tokenizer.from_file(VOCABULARY)
     got = by_id(token_counts.token_counts(docs, VOCABULARY).collect(), "n_bytes", "n_tokens", "over_limit")
