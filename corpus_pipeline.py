@@ -46,7 +46,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     without items, or of an empty table, all rows stay.
     """
     prepare(spark)
-    return docs.where(~decontamination.contains_any(docs, table(spark, sf_dir, "benchmark"))).select(*COLUMNS)
+    return decontamination.without_contained(docs.select(*COLUMNS), table(spark, sf_dir, "benchmark"))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
