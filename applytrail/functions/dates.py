@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -28,10 +30,16 @@ _ZONE_SHAPES = {"": "", " z": " Z"}
 _MONTH_FIRST = ("9/9/Y", "9/9/9")
 
 
+def _bound(c: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value worked out once, however often it is read; a plain column would be copied into each place."""
+    return F.get(F.transform(F.array(c), use), F.lit(0))
+
+
 def _formats(dates: dict[str, str]) -> Column:
     """Shape -> the one format that reads it, for every date, time and zone."""
-    pairs = [(d + t + z, fd + ft + fz) for d, fd in dates.items() for t, ft in _TIME_SHAPES.items() for z, fz in _ZONE_SHAPES.items()]
-    return F.create_map(*[F.lit(x) for pair in pairs for x in pair])
+    pairs = [f"{d}{t}{z}={fd}{ft}{fz}" for d, fd in dates.items() for t, ft in _TIME_SHAPES.items() for z, fz in _ZONE_SHAPES.items()]
+    # one literal, which the planner folds to a map: some hundred of them would be slow to plan
+    return F.str_to_map(F.lit("|".join(pairs)), F.lit("[|]"), F.lit("="))
 
 
 def _tidy(c: Column) -> Column:
@@ -43,10 +51,15 @@ def _tidy(c: Column) -> Column:
     text = F.regexp_replace(text, r"(\d)T(\d)", "$1 $2")
     text = F.regexp_replace(text, r"(\d)[Zz]$", "$1 +0000")
     text = F.regexp_replace(text, r"(:\d{2}(?:\.\d+)?) ?([+-]\d{2}):?(\d{2})$", "$1 $2$3")
+    return _bound(text, _numbered_zone)
+
+
+def _numbered_zone(text: Column) -> Column:
+    """A zone's name at the end replaced by its offset."""
     zone = F.create_map(*[F.lit(x) for pair in _ZONE_NAMES.items() for x in pair])
     name = F.regexp_extract(text, r" ([A-Z]{2,4})$", 1)
-    offset = F.try_element_at(zone, name)
-    return F.when(offset.isNotNull(), F.concat(F.substr(text, F.lit(1), F.length(text) - F.length(name)), offset)).otherwise(text)
+    named = F.concat(F.substr(text, F.lit(1), F.length(text) - F.length(name)), F.try_element_at(zone, name))
+    return F.coalesce(named, text)
 
 
 def _shape(text: Column) -> Column:
@@ -69,18 +82,26 @@ def parse_mixed(c: Column, naive_zone: str = "UTC") -> Column:
     The shape of a text names the one format that is tried; a month beyond 12 in a date with
     strokes makes it day-first. Text without an offset is read in ``naive_zone``; unreadable text is null.
     """
-    text = _tidy(c)
-    shape = _shape(text)
+    return _bound(c, lambda raw: _bound(_tidy(raw), lambda text: _bound(
+        _shape(text), lambda shape: _parsed(raw, text, shape, naive_zone))))
+
+
+def _parsed(raw: Column, text: Column, shape: Column, naive_zone: str) -> Column:
     day_first = {d: _DATE_SHAPES[d].replace("M/d", "d/M") for d in _MONTH_FIRST}
     parsed = F.coalesce(
         _read(text, shape, _DATE_SHAPES),
         F.when(shape.startswith("9/9/"), _read(text, shape, day_first)),
         # years and months alone, region names; the cast alone would complete a bare time of day from the clock
-        F.when(c.rlike(r"^\d{4}-\d"), c).try_cast("timestamp"),
+        F.when(raw.rlike(r"^\d{4}-\d"), raw).try_cast("timestamp"),
     )
     if naive_zone in ("UTC", "+00:00"):
         return parsed
-    return F.when(shape.endswith(" z"), parsed).otherwise(F.to_utc_timestamp(parsed, naive_zone))
+    return _bound(parsed, lambda at: F.when(shape.endswith(" z"), at).otherwise(F.to_utc_timestamp(at, naive_zone)))
+
+
+def parse_mixed_each(columns: list[str]) -> Column:
+    """The instants of several text columns as one array: the rules stand in the plan once."""
+    return F.transform(F.array(*[F.col(c).cast("string") for c in columns]), lambda c: parse_mixed(c))
 
 
 def parse_mixed_utc(c: Column) -> Column:
@@ -89,8 +110,7 @@ def parse_mixed_utc(c: Column) -> Column:
 
 def parse_us_date(c: Column) -> Column:
     """Month-first dates only."""
-    text = _tidy(c)
-    return _read(text, _shape(text), {d: _DATE_SHAPES[d] for d in _MONTH_FIRST})
+    return _bound(_tidy(c), lambda text: _read(text, _shape(text), {d: _DATE_SHAPES[d] for d in _MONTH_FIRST}))
 
 
 def assume_zone(c: Column, zone: str = BOARD_ZONE) -> Column:
@@ -137,11 +157,14 @@ def relative_to_date(c: Column, asof: Column, legacy_minutes: bool = False) -> C
     ``legacy_minutes`` reads ``2mo`` as two minutes, the way the phrase was read
     before months were recognised.
     """
-    text = F.lower(c)
     units = "(m|h|d|w|yr)" if legacy_minutes else "(mo|yr|m|h|d|w)"
     pattern = r"(\d+)\s*" + units
-    digits = F.regexp_extract(text, pattern, 1)
-    unit = F.regexp_extract(text, pattern, 2)
+    return _bound(F.lower(c), lambda text: _bound(
+        F.struct(F.regexp_extract(text, pattern, 1).alias("digits"), F.regexp_extract(text, pattern, 2).alias("unit")),
+        lambda age: _furthest(text, age["digits"], age["unit"], asof)))
+
+
+def _furthest(text: Column, digits: Column, unit: Column, asof: Column) -> Column:
     # absurd ages have no date: over 999 years, 9,999 months or 99,999 of a smaller unit
     longest = F.when(unit == "yr", 3).when(unit == "mo", 4).otherwise(5)
     count = F.when(F.length(digits) <= longest, digits.try_cast("int")) + 1

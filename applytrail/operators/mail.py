@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from applytrail.functions import text as X
-from applytrail.functions.dates import parse_mixed_utc
+from applytrail.functions.dates import parse_mixed_each, parse_mixed_utc
 from applytrail.operators.rows import pick_one
 
 # The extracted fields, in their documented order.
@@ -107,7 +107,12 @@ def conform(df: DataFrame, types: dict[str, str]) -> DataFrame:
 def conform_dates(df: DataFrame, columns: tuple[str, ...] = (
     "date", "interview_date", "application_deadline", "action_deadline",
 )) -> DataFrame:
-    return df.withColumns({c: parse_mixed_utc(F.col(c)) for c in columns if c in df.columns})
+    """The named text columns as instants."""
+    found = [c for c in columns if c in df.columns]
+    if not found:
+        return df
+    read = df.withColumn("_dates", parse_mixed_each(found))
+    return read.withColumns({c: F.get("_dates", F.lit(i)) for i, c in enumerate(found)}).drop("_dates")
 
 
 def drop_unrelated(df: DataFrame) -> DataFrame:
