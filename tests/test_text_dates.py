@@ -122,3 +122,16 @@ def test_relative_dates(column):
         datetime(2024, 1, 31, 12, 0, 1), datetime(2022, 3, 31, 12, 0, 1), datetime(2024, 3, 31, 11, 54, 1), None, None]
     assert column(lambda c: D.relative_to_date(c, asof), ["Applied 2147483647d ago", "999999999w", "99999999999999999999m"]) == [None] * 3
     assert column(lambda c: D.relative_to_date(c, asof, True), ["1mo ago"]) == [datetime(2024, 3, 31, 11, 58, 1)]
+
+
+def test_mail_dates_are_read_together(spark):
+    from applytrail.operators.mail import conform_dates
+
+    rows = [(datetime(2024, 5, 6, 10, 15), "Mon, 6 May 2024 10:15:00 +0200", "soon", 1), (None, None, "2024-05-06T10:15Z", 2)]
+    df = spark.createDataFrame(rows, "date timestamp, interview_date string, action_deadline string, n int")
+    got = conform_dates(df)
+    assert got.columns == df.columns
+    assert {t for c, t in got.dtypes if c != "n"} == {"timestamp"}
+    texts = got.select(*[F.date_format(c, "dd HH:mm") for c in got.columns[:3]]).orderBy(F.col("n")).collect()
+    assert [tuple(r) for r in texts] == [("06 10:15", "06 08:15", None), (None, None, "06 10:15")]
+    assert conform_dates(df.select("n")).columns == ["n"]
