@@ -10,6 +10,7 @@ from applytrail.operators import enrich as E
 from applytrail.operators import mail as M
 from applytrail.operators import resolve as V
 from applytrail.plans import tracker
+from applytrail.sources.scratch import deal
 from checks.matches import analysed_mail
 from checks.oracle_parts import norm_company, norm_title
 from checks.registry import asof, query
@@ -27,12 +28,12 @@ PAGE = """'<!DOCTYPE html><html><head><style>p { color: red }</style><title>Offe
 @query("html_text_built", """SELECT c_custkey, 'Offer & more ' || c_custkey || chr(10) || 'Dear' || chr(10) || c_name || chr(10) || ',' || chr(10) ||
   'Nation ' || c_nationkey || chr(10) || 'Cafe <' || c_mktsegment || '>' || chr(10) || 'Bye' AS text FROM customer""")
 def _(spark, sf_dir):
-    return table(spark, sf_dir, "customer").select("c_custkey", X.html_to_text(F.expr(PAGE)).alias("text"))
+    return deal(table(spark, sf_dir, "customer")).select("c_custkey", X.html_to_text(F.expr(PAGE)).alias("text"))
 
 
 @query("clean_message_built", """SELECT c_custkey, 'Re: cafe ' || c_name || ' now' AS subject, 'See  now' || chr(10) || 'a   b ' || c_mktsegment AS body FROM customer""")
 def _(spark, sf_dir):
-    raw = table(spark, sf_dir, "customer").select(
+    raw = deal(table(spark, sf_dir, "customer")).select(
         "c_custkey", F.expr("'  Re: ---- café \t ' || c_name || ' ———— now​'").alias("subject"),
         F.expr("'<p>See https://x.y/' || c_custkey || '/z?q=1 now</p><p>a ----- b ' || c_mktsegment || '</p>'").alias("body"))
     return M.clean_message(raw)
