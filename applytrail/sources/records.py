@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from applytrail.sources.scratch import cut
+from applytrail.sources.scratch import cut, tasks_for
 
 # Bytes. Files up to this size are read whole, one task each: a choice of speed, not of rows.
 LARGE = 4 * 1024 * 1024
@@ -49,7 +49,9 @@ def joined(parts: DataFrame, separator: str, closes: Callable[[Column], Column],
     """
     rows = cut(parts.withColumns({"odd": (weight if weight is not None else F.lit(0)) % 2,
                                   "if_even": closes(F.lit(0)), "if_odd": closes(F.lit(1))}), "pieces")
-    facts = rows.select("file", "size", "start", "at", "odd", "if_even", "if_odd", F.octet_length("value").alias("bytes"))
+    # texts and facts compress well: dealt by their number, not by bytes, no task holds more than its share
+    tasks = tasks_for(rows)
+    facts = rows.select("file", "size", "start", "at", "odd", "if_even", "if_odd", F.octet_length("value").alias("bytes")).repartition(tasks, "file", "start")
 
     within = Window.partitionBy("file", "start").orderBy("at")
     so_far = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -82,14 +84,17 @@ def joined(parts: DataFrame, separator: str, closes: Callable[[Column], Column],
     known = placed.join(ranges, ["file", "start"]).select(
         "file", "start", "at", "head", (F.col("offset") + of_parity("before")).alias("record"), of_parity("closed").alias("closed"),
         (F.col("head") & F.col("head_range")).alias("opening"), (F.col("tail") & F.col("tail_range")).alias("ending"), "ends_in_separator")
+    known = known.repartition(tasks, "file", "start")
     # a piece is a record if it closes and so does the one before; of heads of ranges that is not looked up
     alone = F.col("closed") & F.coalesce(F.lag("closed").over(within), F.lit(False))
     others = cut(known.withColumn("alone", alone).where(~F.col("alone") | F.col("opening") | F.col("ending")).select(
         "at", "record", "opening", (F.col("ending") & ~F.col("ends_in_separator")).alias("bare")), "pieces-joined")
 
+    rows = rows.repartition(tasks, "at")
     whole = rows.join(others, "at", "left_anti").select(F.concat("value", F.lit(separator)).alias("value"), F.lit(False).alias("first"))
     told = F.concat("value", F.when(F.col("bare"), F.lit("")).otherwise(F.lit(separator)))
-    mended = rows.join(others, "at").groupBy("file", "record").agg(
-        F.sort_array(F.collect_list(F.struct("start", "at", told.alias("value")))).alias("of"), F.max("opening").alias("first"))
+    parts_of = rows.join(others, "at").select("file", "record", "opening", "start", "at", told.alias("value")).repartition(tasks, "file", "record")
+    mended = parts_of.groupBy("file", "record").agg(
+        F.sort_array(F.collect_list(F.struct("start", "at", "value"))).alias("of"), F.max("opening").alias("first"))
     return whole.union(mended.select(F.array_join("of.value", "").alias("value"), "first"))
 
