@@ -16,7 +16,8 @@ from checks.standins import ctes, table
 from checks.texts import ANALYSED, FIELDS
 from checks.whole import exports
 
-MAILS_PER_FILE = 500
+MAILS_PER_FILE = 2000
+FILES_PER_FOLDER = 500
 
 
 def folder(spark, name: str) -> str:
@@ -24,10 +25,11 @@ def folder(spark, name: str) -> str:
 
 
 def write_payloads(payloads: DataFrame, path: str) -> None:
-    """JSON texts (event_id, json) as files that hold one array of some hundred each."""
+    """JSON texts (event_id, json) as files that hold one array of some thousand each, some hundred files a folder."""
     part = F.floor(F.col("event_id") / MAILS_PER_FILE)
     arrays = payloads.groupBy(part.alias("part")).agg(F.array_sort(F.collect_list("json")).alias("all"))
-    arrays.select("part", F.concat(F.lit("["), F.array_join("all", ",\n"), F.lit("]")).alias("value")).write.partitionBy("part").text(path)
+    texts = arrays.select(F.floor(F.col("part") / FILES_PER_FOLDER).alias("folder"), F.concat(F.lit("["), F.array_join("all", ",\n"), F.lit("]")).alias("value"))
+    texts.write.option("maxRecordsPerFile", 1).partitionBy("folder").text(path)
 
 
 # --- mail files ------------------------------------------------------------------

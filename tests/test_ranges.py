@@ -75,3 +75,23 @@ def test_ranges_of_files_without_records(spark, tmp_path):
     (tmp_path / "none.txt").write_text("")
     assert readers.read_quoted_csv(spark, str(tmp_path / "empty.csv"), limit=0).collect() == []
     assert readers.read_dumps(spark, str(tmp_path / "none.txt"), limit=0).collect() == []
+
+
+def test_pieces_are_dealt_by_their_number(spark, tmp_path, monkeypatch):
+    from applytrail.sources import scratch
+    monkeypatch.setattr(scratch, "TASK_ROWS", 20)
+    text = "a,b\n" + "".join(f'{i},"x{i}\ny""{i}"\n' for i in range(100))
+    (tmp_path / "one.csv").write_text(text)
+    read = readers.read_quoted_csv(spark, str(tmp_path), limit=0)
+    assert sorted((int(r.a), r.b) for r in read.collect()) == [(i, f'x{i}\ny"{i}') for i in range(100)]
+    # 201 pieces in tasks of 20; without that, no more tasks than shuffles have by default
+    assert read.rdd.getNumPartitions() >= 11
+
+
+def test_payload_files_share_folders(spark, tmp_path):
+    from checks import flows
+    payloads = spark.range(0, 5 * flows.MAILS_PER_FILE, 1000).selectExpr("id AS event_id", "concat('{\"subject\": \"', id, '\"}') AS json")
+    flows.write_payloads(payloads, str(tmp_path / "in"))
+    folders = list((tmp_path / "in").glob("folder=*"))
+    assert len(folders) == 1 and len(list(folders[0].glob("*.txt"))) == 5
+    assert readers.read_emails(spark, [str(tmp_path / "in")]).count() == payloads.count()
