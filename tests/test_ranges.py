@@ -95,3 +95,21 @@ def test_payload_files_share_folders(spark, tmp_path):
     folders = list((tmp_path / "in").glob("folder=*"))
     assert len(folders) == 1 and len(list(folders[0].glob("*.txt"))) == 5
     assert readers.read_emails(spark, [str(tmp_path / "in")]).count() == payloads.count()
+
+
+def test_texts_are_stored_once_in_rows_of_many_pieces(spark, tmp_path, monkeypatch):
+    """No row a line is stored, and what is cut between rows, inside quotes too, is joined again."""
+    from applytrail.sources import records
+    stored, cut = {}, records.cut
+    monkeypatch.setattr(records, "cut", lambda df, name: stored.setdefault(name, cut(df, name)))
+    rows = [(str(i), "x\n" * (i % 7) + f'y "{i}"', "" if i % 3 else "z") for i in range(600)]
+    with open(tmp_path / "one.csv", "w", newline="") as f:
+        out = csv.writer(f, lineterminator="\n", quoting=csv.QUOTE_ALL)
+        out.writerows([("a", "b", "c"), *rows])
+    want = sorted((a, b, c or None) for a, b, c in rows)
+    for chunk in (50, 400, records.CHUNK):
+        monkeypatch.setattr(records, "CHUNK", chunk)
+        stored.clear()
+        got = sorted((r.a, r.b, r.c or None) for r in readers.read_quoted_csv(spark, str(tmp_path), limit=0).collect())
+        assert got == want
+    assert sum(df.count() for df in stored.values()) < 40
